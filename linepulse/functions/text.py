@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WHITESPACE = " \t\r\n"
+_MARKS = " \t\r\n#_/.-()%&:"
 
 
 def blank(c: Column) -> Column:
-    return F.trim(c, F.lit(WHITESPACE)) == ""
+    return c.rlike(r"^\s*$")
+
+
+def stripped(c: Column) -> Column:
+    """Text without the white space around it, line ends and tabs included."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
 def key_of(name: Column) -> Column:
-    """Header name without case, blanks and punctuation, as headers vary in spelling."""
-    return F.lower(F.regexp_replace(name, "[^A-Za-z0-9]", ""))
+    """Header name without case, blanks and marks, as headers vary in spelling."""
+    return F.translate(F.lower(name), _MARKS, "")
 
 
 def machine_side(machine: Column, side: Column) -> Column:

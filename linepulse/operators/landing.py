@@ -5,25 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linepulse.functions import convert, text, times
+from linepulse.functions import convert, times
 from linepulse.registry import LINEAGE, ROUTES, SPECS, TableSpec
 
 
-def _position(key: str) -> Column:
-    """Index of the last field with this key; past the end when there is none."""
-    return F.size("field_keys") - F.array_position(F.reverse("field_keys"), key)
-
-
-def _raw(spec: TableSpec, column: str) -> Column:
-    value = F.get("field_values", _position(spec.field_key(column)))
-    return F.when(~text.blank(value), value)
+def _field(spec: TableSpec, column: str) -> Column:
+    """The message field of a column, NULL when the message has none."""
+    found = F.array_position("field_keys", spec.field_key(column))
+    return F.get("field_values", F.size("field_keys") - found)
 
 
 def _typed(spec: TableSpec, column: str) -> Column:
-    value, kind = _raw(spec, column), spec.kind(column)
+    """Text as it is; other types from the trimmed text, NULL for a blank."""
+    value, kind = _field(spec, column), spec.kind(column)
+    if kind == "string":
+        return value
+    known = F.nullif(F.trim(value), F.lit(""))
     if kind == "timestamp":
-        return times.parse_time(value, spec.time_format)
-    return convert.cast_text(value, kind)
+        return times.parse_time(known, spec.time_format)
+    return convert.cast_text(known, kind)
 
 
 def land(records: DataFrame, table: str) -> DataFrame:
@@ -33,12 +33,11 @@ def land(records: DataFrame, table: str) -> DataFrame:
     quarantine.
     """
     spec = SPECS[table]
-    keyed = records.withColumn("field_keys", F.transform("field_names", text.key_of))
     lineage = [
         times.parse_time(F.col(c)).alias(c) if c == "bicoe_load_dttm" else F.col(c)
         for c in LINEAGE
     ]
-    return keyed.select(*lineage, *(_typed(spec, c).alias(c) for c in spec.columns))
+    return records.select(*lineage, *(_typed(spec, c).alias(c) for c in spec.columns))
 
 
 def land_all(classified: DataFrame, routes=ROUTES) -> dict[str, DataFrame]:

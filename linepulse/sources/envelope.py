@@ -81,12 +81,17 @@ def _description(node: Column, position: Column, nodes: Column) -> Column:
 
 def _clean(value: Column) -> Column:
     """Blank values stay as they are, others lose the blanks around them."""
-    return F.when(text.blank(value), value).otherwise(F.trim(value, F.lit(text.WHITESPACE)))
+    return F.when(value.rlike(r"^\s|\s$") & value.rlike(r"\S"), text.stripped(value)).otherwise(value)
+
+
+def field_keys(names: Column) -> Column:
+    """Keys of the fields, last field first: of two fields with one key the last counts."""
+    return F.reverse(F.transform(names, text.key_of))
 
 
 def _bad(name: Column, i: Column) -> Column:
     value, word = F.get("field_values", i), F.get("field_types", i)
-    good = F.when(value.isNull(), False).when(F.trim(value) == "", True).otherwise(
+    good = F.when(value.isNull(), False).when(text.blank(value), True).otherwise(
         convert.converts(value, word)
     )
     return F.when(~good, name)
@@ -101,9 +106,9 @@ def parse(
 ) -> DataFrame:
     """Records of all messages, one row per header block and per detail line.
 
-    Columns: the eight lineage columns, ``field_names``, ``field_types``, ``field_values``,
-    ``bad_fields`` (names whose value is missing or does not convert), ``reason`` (NULL for
-    a good record) and ``raw`` (the line, or the message when it is not XML).
+    Columns: the eight lineage columns, ``field_names``, ``field_types``, ``field_keys``,
+    ``field_values``, ``bad_fields`` (names whose value is missing or does not convert), ``reason`` (NULL for
+    a good record), ``readable`` (it has values) and ``raw`` (the line, or the message when it is not XML).
     """
     load = load_time if load_time is not None else F.current_timestamp()
     name = F.lit(batch_name) if isinstance(batch_name, str) else batch_name
@@ -129,14 +134,16 @@ def parse(
         _description(F.col("node"), F.col("position"), F.col("nodes")).alias("about"),
         ((F.col("position") == 0) & (F.size("nodes") > 1)).alias("is_header"),
         F.coalesce(content, F.lit("")).alias("content"),
-    )
+    ).select(
+        "*",
+        F.split("about._fieldnames", ",").alias("field_names"),
+        F.split("about._fieldtypes", ",").alias("field_types"),
+    ).withColumn("field_keys", field_keys(F.col("field_names")))
     lines = F.when(F.col("is_header"), F.array("content")).otherwise(
         F.filter(F.split("content", "\\r?\\n"), lambda line: ~text.blank(line))
     )
     rows = blocks.select(
         "*",
-        F.split("about._fieldnames", ",").alias("field_names"),
-        F.split("about._fieldtypes", ",").alias("field_types"),
         F.explode(
             F.when(F.col("corrupt"), F.array("raw_message")).otherwise(lines)
         ).alias("raw"),
@@ -150,6 +157,7 @@ def parse(
         safe.alias("safe"),
         "field_names",
         "field_types",
+        "field_keys",
         F.transform(F.slice(split, F.lit(1), F.size("field_names")), _clean).alias("field_values"),
         F.coalesce("node.Status", F.lit("")).alias("xml_status"),
         F.coalesce("node.TagId", F.lit("")).alias("xml_tag_id"),
@@ -164,25 +172,28 @@ def parse(
         "bad_fields",
         F.filter(F.transform("field_names", _bad), lambda n: n.isNotNull()),
     )
+    readable = ~F.col("corrupt") & F.coalesce("safe", F.lit(False))
     reason = (
         F.when(F.col("corrupt"), MALFORMED)
-        .when(~F.coalesce("safe", F.lit(False)), BAD_SEPARATOR)
+        .when(~readable, BAD_SEPARATOR)
         .when(F.size("bad_fields") > 0, BAD_FIELDS)
     )
     return checked.select(
         *RECORD_LINEAGE,
         "field_names",
         "field_types",
+        "field_keys",
         "field_values",
         "bad_fields",
         reason.alias("reason"),
+        readable.alias("readable"),
         "raw",
     )
 
 
 def records(parsed: DataFrame) -> DataFrame:
     """Rows that have values: records with a bad field keep their other fields."""
-    return parsed.filter(F.col("reason").isNull() | (F.col("reason") == BAD_FIELDS))
+    return parsed.filter("readable")
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:

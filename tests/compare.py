@@ -62,7 +62,7 @@ def same(spark, con, query, sql, folder):
         if got != want:
             diff = [(n, g, w) for n, g, w in zip(columns, got, want) if g != w]
             return f"values {diff[:4]} in {got[:4]}"
-    return ""
+    return "" if rows else "no rows on both sides"
 
 
 def main() -> int:
