@@ -803,13 +803,31 @@ def offset_progress(spark, d):
 # --- streams ----------------------------------------------------------------------------
 
 
-def _as_stream(df: DataFrame, name: str, parts: int = 3) -> DataFrame:
-    """A table as a file stream of `parts` batches."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.repartition(parts).write.parquet(path)
-    reader = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
-    return reader.parquet(path)
+ORDER_CUTS = ("1997-01-01", "1999-01-01")
+EVENT_CUTS = ("2024-01-10", "2024-01-20")
+
+
+def _spans(time: str, cuts: tuple[str, str]) -> list[Column]:
+    """Conditions that cut a table into three spans of time, in order."""
+    first, second = (F.lit(cut).cast("timestamp") for cut in cuts)
+    at = F.col(time).cast("timestamp")
+    return [at < first, (at >= first) & (at < second), (at >= second) | at.isNull()]
+
+
+def _arrivals(spark, root: str, sources: dict[str, tuple[DataFrame, str]], cuts, run) -> None:
+    """Let tables arrive span by span in folders that file streams read.
+
+    `run` gets the streams, starts a query on them and gives it back; it works through
+    what has arrived, stops, and goes on from its checkpoint after the next span.
+    """
+    streams = {
+        name: spark.readStream.schema(df.schema).parquet(f"{root}/in/{name}/*")
+        for name, (df, _) in sources.items()
+    }
+    for number in range(len(cuts) + 1):
+        for name, (df, time) in sources.items():
+            df.filter(_spans(time, cuts)[number]).write.parquet(f"{root}/in/{name}/{number}")
+        run(streams).awaitTermination()
 
 
 @query
@@ -818,7 +836,10 @@ def stream_latest(spark, d):
     rows = _event_versions(spark, d)
     root = fresh_path(spark, "latest")
     store = LookupStore(f"{root}/store", ["user_id", "event_type"], rows.schema, compact_every=2)
-    start(_as_stream(rows, "versions"), store.merge, f"{root}/checkpoint").awaitTermination()
+    _arrivals(
+        spark, root, {"versions": (rows, "version")}, EVENT_CUTS,
+        lambda streams: start(streams["versions"], store.merge, f"{root}/checkpoint"),
+    )
     return store.current(spark)
 
 
@@ -829,13 +850,15 @@ def stream_kpi(spark, d):
     times_of = inspections.select("generated_key", F.col("inspection_end").alias("measured_at"))
     pads = view(spark, d, "detail").join(times_of, "generated_key")
     root = fresh_path(spark, "volume")
-    kpi_stream.board_volume_stream(
-        _as_stream(inspections, "headers", 2),
-        _as_stream(pads, "pads", 2),
-        f"{root}/boards",
-        f"{root}/checkpoint",
-        delay="3650 days",
-    ).awaitTermination()
+    _arrivals(
+        spark,
+        root,
+        {"headers": (inspections, "inspection_end"), "pads": (pads, "measured_at")},
+        ORDER_CUTS,
+        lambda streams: kpi_stream.board_volume_stream(
+            streams["headers"], streams["pads"], f"{root}/boards", f"{root}/checkpoint"
+        ),
+    )
     boards = spark.read.parquet(f"{root}/boards")
     return _round(kpi.unit_means(boards), "volume_result")
 
@@ -845,12 +868,19 @@ def stream_ingest(spark, d):
     """XML messages through the whole ingest: landed, forwarded and quarantined rows."""
     orders = table(spark, d, "orders")
     messages = orders.select(
-        F.when(F.col("o_orderkey") % 10 == 0, _odd_message()).otherwise(_spi_message()).alias("value")
+        "o_orderdate",
+        F.when(F.col("o_orderkey") % 10 == 0, _odd_message()).otherwise(_spi_message()).alias("value"),
     )
     root = fresh_path(spark, "ingest")
-    ingest(
-        _as_stream(messages, "messages", 2), f"{root}/out", f"{root}/checkpoint", "xml_in", "raiot"
-    ).awaitTermination()
+    _arrivals(
+        spark,
+        root,
+        {"messages": (messages, "o_orderdate")},
+        ORDER_CUTS,
+        lambda streams: ingest(
+            streams["messages"], f"{root}/out", f"{root}/checkpoint", "xml_in", "raiot"
+        ),
+    )
     out = f"{root}/out"
     counted = {
         name: spark.read.schema(SPECS[name].schema).parquet(f"{out}/tables/{name}")
@@ -863,7 +893,7 @@ def stream_ingest(spark, d):
 
 @query
 def stream_enriched(spark, d):
-    """Master data and timer events in one stream of records, enriched in the same batch."""
+    """Master data and then timer events in one stream of records."""
     timers = view(spark, d, "timer_events")
     equipment = _lookup(spark, d, "equipment")
     orders = _lookup(spark, d, "wodetail")
@@ -904,14 +934,16 @@ def stream_enriched(spark, d):
             )
         ),
     )
-    messages = parts[0].unionByName(parts[1]).unionByName(parts[2])
     root = fresh_path(spark, "enriched")
-    event_stream.enrich_stream(
-        records.json_records(_as_stream(messages, "records", 1)),
-        f"{root}/out",
-        f"{root}/checkpoint",
-        event_stream.lookup_stores(f"{root}/lookups"),
-    ).awaitTermination()
+    inlet = spark.readStream.schema("value string").parquet(f"{root}/in/*")
+    for number, part in enumerate(parts):
+        part.write.parquet(f"{root}/in/{number}")
+        event_stream.enrich_stream(
+            records.json_records(inlet),
+            f"{root}/out",
+            f"{root}/checkpoint",
+            event_stream.lookup_stores(f"{root}/lookups"),
+        ).awaitTermination()
     out = spark.read.parquet(f"{root}/out/wide")
     return out.select(
         "table_name", "machine_name", "product_id", "plant", "sap_wo", "side", "assembly",
