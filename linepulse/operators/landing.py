@@ -6,24 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linepulse.functions import convert, times
-from linepulse.registry import LINEAGE, ROUTES, SPECS, TableSpec
+from linepulse.registry import LINEAGE, SPECS, TableSpec
 
 
-def _field(spec: TableSpec, column: str) -> Column:
-    """The message field of a column, NULL when the message has none."""
-    found = F.array_position("field_keys", spec.field_key(column))
-    return F.get("field_values", F.size("field_keys") - found)
+def _field(spec: TableSpec, column: str) -> str:
+    """SQL for the message field of a column, NULL when the message has none."""
+    key = spec.field_key(column)
+    return f"get(field_values, size(field_keys) - array_position(field_keys, '{key}'))"
 
 
 def _typed(spec: TableSpec, column: str) -> Column:
     """Text as it is; other types from the trimmed text, NULL for a blank."""
     value, kind = _field(spec, column), spec.kind(column)
     if kind == "string":
-        return value
-    known = F.nullif(F.trim(value), F.lit(""))
+        return F.expr(value)
+    known = f"nullif(trim({value}), '')"
     if kind == "timestamp":
-        return times.parse_time(known, spec.time_format)
-    return convert.cast_text(known, kind)
+        return times.parse_time(F.expr(known), spec.time_format)
+    if kind == "boolean":
+        return convert.cast_text(F.expr(known), kind)
+    return F.expr(f"try_cast({known} AS {kind})")
 
 
 def land(records: DataFrame, table: str) -> DataFrame:
@@ -40,8 +42,6 @@ def land(records: DataFrame, table: str) -> DataFrame:
     return records.select(*lineage, *(_typed(spec, c).alias(c) for c in spec.columns))
 
 
-def land_all(classified: DataFrame, routes=ROUTES) -> dict[str, DataFrame]:
-    """The rows of every table of the routes."""
-    return {
-        table: land(classified.filter(F.col("record_type") == table), table) for table in routes
-    }
+def land_table(classified: DataFrame, table: str) -> DataFrame:
+    """The rows of one table among records of several types."""
+    return land(classified.filter(F.col("record_type") == table), table)

@@ -530,7 +530,7 @@ def xml_roundtrip(spark, d):
 @query
 def xml_landed_detail(spark, d):
     good = routing.classify(envelope.records(_spi_records(spark, d)))
-    rows = landing.land_all(good)["ea_spi_detail"]
+    rows = landing.land_table(good, "ea_spi_detail")
     return rows.select(
         "generated_key",
         "module_nbr",
@@ -544,7 +544,7 @@ def xml_landed_detail(spark, d):
 @query
 def xml_landed_header(spark, d):
     good = routing.classify(envelope.records(_spi_records(spark, d)))
-    rows = landing.land_all(good)["ea_spi_header"]
+    rows = landing.land_table(good, "ea_spi_header")
     return rows.select("generated_key", "machine_id", "pcb_result", "inspection_end_dttm", "barcode")
 
 
@@ -612,7 +612,7 @@ def json_landed_timers(spark, d):
         )
     )
     rows = routing.classify(records.json_records(source.select(message.alias("value"))))
-    return landing.land_all(rows)["ea_pap_timers"].select(
+    return landing.land_table(rows, "ea_pap_timers").select(
         "xml_tag_name",
         "product_id",
         "date_time",

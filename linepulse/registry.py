@@ -29,6 +29,15 @@ LINEAGE = (
 FILE_TIME = "file_timestamp"
 
 AMOUNT = "decimal(10,5)"
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "decimal(5,2)": T.DecimalType(5, 2),
+    AMOUNT: T.DecimalType(10, 5),
+}
 _TIME_NAME = re.compile(r"(_dttm|_date|date_time|time_?stamp)$")
 
 
@@ -58,7 +67,7 @@ class TableSpec:
     def schema(self) -> T.StructType:
         kinds = {c: "timestamp" if c == "bicoe_load_dttm" else "string" for c in LINEAGE}
         kinds.update({c: self.kind(c) for c in self.columns})
-        return T.StructType.fromDDL(", ".join(f"`{c}` {k}" for c, k in kinds.items()))
+        return T.StructType([T.StructField(c, _TYPES[k]) for c, k in kinds.items()])
 
 
 def _table(name: str, route: str, columns: str, **options) -> TableSpec:

@@ -18,7 +18,8 @@ BATCH = "batch"
 
 def append_table(df: DataFrame, table: str) -> None:
     """Append by column name to a catalog table."""
-    df.writeTo(table).append()
+    columns = df.sparkSession.table(table).columns
+    df.select(*columns).write.insertInto(table)
 
 
 def _batch_folder(path: str, batch_id: int | None) -> str:
