@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MARKS = " \t\r\n#_/.-()%&:"
+_BETWEEN = "\u0001"
+_MARKS = " \t#_/.-()%&:"
 
 
 def blank(c: Column) -> Column:
@@ -17,9 +18,13 @@ def stripped(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-def key_of(name: Column) -> Column:
-    """Header name without case, blanks and marks, as headers vary in spelling."""
-    return F.translate(F.lower(name), _MARKS, "")
+def keys_of(names: Column) -> Column:
+    """Header names without case, blanks and marks, as headers vary in spelling.
+
+    The names go through the functions as one text, which costs less than one by one.
+    """
+    joined = F.array_join(names, _BETWEEN)
+    return F.split(F.lower(F.translate(joined, _MARKS, "")), _BETWEEN)
 
 
 def machine_side(machine: Column, side: Column) -> Column:

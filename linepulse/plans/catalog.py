@@ -11,7 +11,7 @@ from linepulse.functions import convert, text, times
 from linepulse.operators import enrich, kpi, landing, limits, lookups, report, routing, wide
 from linepulse.plans.views import table, view
 from linepulse.registry import KPI_SCHEMA, SPECS
-from linepulse.session import fresh_path
+from linepulse.session import fresh_path, materialize
 from linepulse.sinks import files, payloads, topics
 from linepulse.sources import envelope, records, tables
 from linepulse.streaming import events as event_stream
@@ -373,30 +373,44 @@ def _xref(spark, d) -> DataFrame:
     return tables.xref(view(spark, d, "xref_raw"))
 
 
+def _lookups(spark, d, *names: str) -> dict[str, DataFrame]:
+    return {name: _lookup(spark, d, name) for name in names}
+
+
+def _nozzle(spark, d, now, xref=None) -> DataFrame:
+    events = view(spark, d, "nozzle_events")
+    return enrich.nozzle(events, now["equipment"], now["info"], now["wodetail"], xref)
+
+
+def _timers(spark, d, now, xref=None) -> DataFrame:
+    return enrich.timers(view(spark, d, "timer_events"), now["equipment"], now["wodetail"], xref)
+
+
+def _defects(spark, d, now) -> DataFrame:
+    return enrich.defects(view(spark, d, "defect_events"), now["wodetail"], now["progorderlist"])
+
+
+def _slot(spark, d, now) -> DataFrame:
+    cost = tables.material_cost(view(spark, d, "material_cost_raw"))
+    return enrich.slot(
+        view(spark, d, "slot_events"), now["equipment"], now["comptype"], now["wodetail"], cost
+    )
+
+
 @query
 def nozzle_enriched(spark, d):
-    return enrich.nozzle(
-        view(spark, d, "nozzle_events"),
-        _lookup(spark, d, "equipment"),
-        _lookup(spark, d, "info"),
-        _lookup(spark, d, "wodetail"),
-    )
+    return _nozzle(spark, d, _lookups(spark, d, "equipment", "info", "wodetail"))
 
 
 @query
 def nozzle_enriched_xref(spark, d):
-    return enrich.nozzle(
-        view(spark, d, "nozzle_events"),
-        _lookup(spark, d, "equipment"),
-        _lookup(spark, d, "info"),
-        _lookup(spark, d, "wodetail"),
-        _xref(spark, d),
-    )
+    now = _lookups(spark, d, "equipment", "info", "wodetail")
+    return _nozzle(spark, d, now, _xref(spark, d))
 
 
 @query
 def nozzle_v1(spark, d):
-    """Machines of even supplier numbers only are known here."""
+    """Only the machines with heads 0 and 2 are known here."""
     known = _lookup(spark, d, "equipment").withColumn(
         "equipment_make",
         F.when(F.col("head_1").isin("H0", "H2"), F.col("equipment_make")),
@@ -406,39 +420,22 @@ def nozzle_v1(spark, d):
 
 @query
 def timers_enriched(spark, d):
-    return enrich.timers(
-        view(spark, d, "timer_events"), _lookup(spark, d, "equipment"), _lookup(spark, d, "wodetail")
-    )
+    return _timers(spark, d, _lookups(spark, d, "equipment", "wodetail"))
 
 
 @query
 def timers_enriched_xref(spark, d):
-    return enrich.timers(
-        view(spark, d, "timer_events"),
-        _lookup(spark, d, "equipment"),
-        _lookup(spark, d, "wodetail"),
-        _xref(spark, d),
-    )
+    return _timers(spark, d, _lookups(spark, d, "equipment", "wodetail"), _xref(spark, d))
 
 
 @query
 def defects_enriched(spark, d):
-    return enrich.defects(
-        view(spark, d, "defect_events"),
-        _lookup(spark, d, "wodetail"),
-        _lookup(spark, d, "progorderlist"),
-    )
+    return _defects(spark, d, _lookups(spark, d, "wodetail", "progorderlist"))
 
 
 @query
 def slot_enriched(spark, d):
-    return enrich.slot(
-        view(spark, d, "slot_events"),
-        _lookup(spark, d, "equipment"),
-        _lookup(spark, d, "comptype"),
-        _lookup(spark, d, "wodetail"),
-        tables.material_cost(view(spark, d, "material_cost_raw")),
-    )
+    return _slot(spark, d, _lookups(spark, d, "equipment", "comptype", "wodetail"))
 
 
 @query
@@ -454,11 +451,15 @@ def limited_newest(spark, d):
 
 
 def _wide(spark, d) -> DataFrame:
+    """All four event types; the lookups that several of them read are written once."""
+    now = _lookups(spark, d, *lookups.LOOKUPS)
+    for name in ("equipment", "wodetail"):
+        now[name] = materialize(now[name], name)
     return wide.events(
-        nozzle=nozzle_enriched(spark, d),
-        timers=timers_enriched(spark, d),
-        defects=defects_enriched(spark, d),
-        slot=slot_enriched(spark, d),
+        nozzle=_nozzle(spark, d, now),
+        timers=_timers(spark, d, now),
+        defects=_defects(spark, d, now),
+        slot=_slot(spark, d, now),
     )
 
 
@@ -684,7 +685,12 @@ def _order_rows(spark, d) -> DataFrame:
 def payload_chunks(spark, d):
     rows = _order_rows(spark, d)
     return payloads.payloads(
-        rows, ["o_orderkey"], 100, service="orders", bucket=F.col("o_orderkey") % 8, envelope=True
+        rows,
+        ["o_orderkey"],
+        100,
+        service="orders",
+        bucket=F.floor(F.col("o_orderkey") / 1250),
+        envelope=True,
     )
 
 

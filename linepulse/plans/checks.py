@@ -616,10 +616,10 @@ CHECKS["topic_fanout"] = """
 
 CHECKS["payload_chunks"] = """
     WITH r AS (
-        SELECT o_orderkey % 8 AS bucket, o_orderkey,
+        SELECT o_orderkey // 1250 AS bucket, o_orderkey,
                concat('{"o_orderkey":', o_orderkey, ',"o_custkey":', o_custkey, ',"o_orderpriority":"',
                       o_orderpriority, '"}') AS body,
-               (row_number() OVER (PARTITION BY o_orderkey % 8 ORDER BY o_orderkey) - 1) // 100 AS chunk
+               (row_number() OVER (PARTITION BY o_orderkey // 1250 ORDER BY o_orderkey) - 1) // 100 AS chunk
         FROM orders)
     SELECT 'orders' AS service, bucket, CAST(chunk AS BIGINT) AS chunk, count(*) AS row_count,
            concat('{"inputJson":[', string_agg(body, ',' ORDER BY o_orderkey), ']}') AS payload

@@ -79,20 +79,29 @@ def _description(node: Column, position: Column, nodes: Column) -> Column:
     return F.coalesce(_described(node), F.try_element_at(before, F.lit(-1)))
 
 
-def _clean(value: Column) -> Column:
-    """Blank values stay as they are, others lose the blanks around them."""
-    return F.when(value.rlike(r"^\s|\s$") & value.rlike(r"\S"), text.stripped(value)).otherwise(value)
+def _clean(line: Column, values: Column) -> Column:
+    """Blank values stay as they are, others lose the white space around them.
+
+    Lines without tabs and the like, which are nearly all, need no pattern per value.
+    """
+    plain = F.transform(values, lambda v: F.when(F.trim(v) == "", v).otherwise(F.trim(v)))
+    odd = F.transform(values, lambda v: F.when(text.blank(v), v).otherwise(text.stripped(v)))
+    return F.when(line.rlike(r"[\t\r\n\f\x0B]"), odd).otherwise(plain)
 
 
 def field_keys(names: Column) -> Column:
     """Keys of the fields, last field first: of two fields with one key the last counts."""
-    return F.reverse(F.transform(names, text.key_of))
+    return F.reverse(text.keys_of(names))
 
 
 def _bad(name: Column, i: Column) -> Column:
     value, word = F.get("field_values", i), F.get("field_types", i)
-    good = F.when(value.isNull(), False).when(text.blank(value), True).otherwise(
-        convert.converts(value, word)
+    good = (
+        F.when(value.isNull(), False)
+        .when(word.isin("String", "string"), True)
+        .when(F.trim(value) == "", True)
+        .when(convert.converts(value, word), True)
+        .otherwise(text.blank(value))
     )
     return F.when(~good, name)
 
@@ -158,7 +167,7 @@ def parse(
         "field_names",
         "field_types",
         "field_keys",
-        F.transform(F.slice(split, F.lit(1), F.size("field_names")), _clean).alias("field_values"),
+        _clean(F.col("raw"), F.slice(split, F.lit(1), F.size("field_names"))).alias("field_values"),
         F.coalesce("node.Status", F.lit("")).alias("xml_status"),
         F.coalesce("node.TagId", F.lit("")).alias("xml_tag_id"),
         F.date_format(load, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("bicoe_load_dttm"),

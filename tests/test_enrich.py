@@ -194,6 +194,8 @@ def test_wide_events(spark):
         full, sparse = json.loads(row.full), json.loads(row.sparse)
         assert len(full) == 43 and None not in sparse.values()
         assert {k: v for k, v in full.items() if v is not None} == sparse
+    quoted = made.withColumn("side", F.lit('a"b')).select(wide.event_json()).first()[0]
+    assert json.loads(quoted)["side"] == 'a"b'
     row = made.filter("table_name = 'slot'").first()
     assert row.slot_pins == 4.0 and row.picks == 9.0 and row.slot_number == "5" and row.comp_missing is None
 

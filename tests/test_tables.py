@@ -37,10 +37,17 @@ def test_registry_types():
     assert SPECS["ea_pap_slot"].schema["ul_slot_rejects"].dataType.simpleString() == "int"
 
 
+def test_ddl_takes_the_environment():
+    ddl = registry.table_ddl(SPECS["ea_pap_gen"], "q_", "/warehouse")
+    assert ddl.startswith("CREATE TABLE IF NOT EXISTS q_elec_assy.ea_pap_gen (`xml_tag_name` string")
+    assert ddl.endswith("USING parquet LOCATION '/warehouse/ea_pap_gen'")
+    assert registry.KPI_TABLES["fpy"] == "ea_spi_fpy" and registry.KPI_TABLES["ffr"] == "ea_spi_ffr"
+
+
 def test_field_keys_agree(spark):
     names = ["Head #", "# Pins", "PiPPlc/panel", "Setup#", "ulVPSHeightFailure", "Time Stamp"]
-    df = spark.createDataFrame([(n,) for n in names], "n string")
-    keys = {r.n: r.k for r in df.select("n", text.key_of(F.col("n")).alias("k")).collect()}
+    df = spark.createDataFrame([(names,)], "n array<string>")
+    keys = dict(zip(names, df.select(text.keys_of(F.col("n"))).first()[0]))
     assert keys["Head #"] == SPECS["ea_progorderlist"].field_key("head")
     assert keys["# Pins"] == SPECS["ea_comptype"].field_key("pins")
     assert keys["PiPPlc/panel"] == SPECS["ea_wodetail"].field_key("pipplc_panel")
