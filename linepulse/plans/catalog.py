@@ -344,7 +344,7 @@ def lookup_comptype(spark, d):
 def lookup_merge(spark, d):
     """Rows up to 1998 as the snapshot, later ones merged into it."""
     rows = lookups.versions(view(spark, d, "wodetail_raw"), "wodetail")
-    early = F.col("version") < "raiot_1998-01-01"
+    early = F.col("version") < "line_1998-01-01"
     snapshot = lookups.one_per_key(
         rows.filter(early), lookups.LOOKUPS["wodetail"].keys, ["version"]
     )
@@ -354,7 +354,7 @@ def lookup_merge(spark, d):
 @query
 def lookup_merge_first(spark, d):
     rows = lookups.versions(view(spark, d, "comptype_raw"), "comptype")
-    early = F.col("version") < "raiot_1998-01-01"
+    early = F.col("version") < "line_1998-01-01"
     snapshot = lookups.one_per_key(
         rows.filter(early), lookups.LOOKUPS["comptype"].keys, ["version"], "first"
     )
@@ -509,7 +509,7 @@ def _spi_message() -> Column:
 
 def _spi_records(spark, d) -> DataFrame:
     messages = table(spark, d, "orders").select(_spi_message().alias("value"))
-    return envelope.parse(messages, "xml_in", "raiot_0", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return envelope.parse(messages, "xml_in", "line_0", F.lit("2024-01-01 00:00:00").cast("timestamp"))
 
 
 @query
@@ -574,7 +574,7 @@ def _odd_message() -> Column:
 @query
 def xml_bad_rows(spark, d):
     messages = table(spark, d, "orders").select(_odd_message().alias("value"))
-    parsed = envelope.parse(messages, "xml_in", "raiot_0")
+    parsed = envelope.parse(messages, "xml_in", "line_0")
     return parsed.groupBy(F.coalesce("reason", F.lit("good")).alias("reason")).agg(
         F.count("*").alias("row_count"),
         F.coalesce(F.sum(F.size("bad_fields")), F.lit(0)).alias("bad_fields"),
@@ -761,7 +761,7 @@ def table_append(spark, d):
 def archive_roundtrip(spark, d):
     path = fresh_path(spark, "archive")
     rows = table(spark, d, "customer").select(F.col("c_name").alias("value"))
-    files.archive(rows, path, files.batch_name("raiot", 0))
+    files.archive(rows, path, files.batch_name("line", 0))
     return spark.read.text(f"{path}/*").select(F.col("value").alias("c_name"))
 
 
@@ -884,7 +884,7 @@ def stream_ingest(spark, d):
         {"messages": (messages, "o_orderdate")},
         ORDER_CUTS,
         lambda streams: ingest(
-            streams["messages"], f"{root}/out", f"{root}/checkpoint", "xml_in", "raiot"
+            streams["messages"], f"{root}/out", f"{root}/checkpoint", "xml_in", "line"
         ),
     )
     out = f"{root}/out"

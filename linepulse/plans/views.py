@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linepulse.registry import ROUTES
 
-_VERSION = "concat('raiot_', CAST(CAST(l_shipdate AS DATE) AS STRING))"
+_VERSION = "concat('line_', CAST(CAST(l_shipdate AS DATE) AS STRING))"
 _ORDER_PLANT = "concat('NATION_', CAST(l_orderkey % 25 AS STRING))"
 _MACHINE = "concat('M', CAST(l_suppkey AS STRING))"
 _HEAD = "concat('H', CAST(l_suppkey % 4 AS STRING))"

@@ -26,9 +26,13 @@ def _batch_folder(path: str, batch_id: int | None) -> str:
     return path if batch_id is None else f"{path}/{BATCH}={batch_id}"
 
 
-def append_parquet(df: DataFrame, path: str, batch_id: int | None = None) -> None:
+def append_parquet(
+    df: DataFrame, path: str, batch_id: int | None = None, gather: bool = False
+) -> None:
+    """Append to a folder; `gather` moves the rows of many small tasks into few files."""
     mode = "append" if batch_id is None else "overwrite"
-    df.write.mode(mode).parquet(_batch_folder(path, batch_id))
+    rows = df.hint("rebalance") if gather else df
+    rows.write.mode(mode).parquet(_batch_folder(path, batch_id))
 
 
 def append_partitioned(

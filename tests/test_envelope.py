@@ -24,7 +24,7 @@ def message(*nodes, filename="line4_001.txt"):
 
 def parse(spark, *messages):
     df = spark.createDataFrame([(m,) for m in messages], "value string")
-    return envelope.parse(df, "xml_in", "raiot_7")
+    return envelope.parse(df, "xml_in", "line_7")
 
 
 def values(df):
@@ -50,7 +50,7 @@ def test_header_and_details(spark):
     assert parsed.count() == 4
     head = parsed.filter("xml_tag_name like '%header'").first()
     assert head.file_name == "line4_001.txt" and head.kafka_topic == "xml_in"
-    assert head.hdfs_file_name == "raiot_7" and head.xml_status == "Good"
+    assert head.hdfs_file_name == "line_7" and head.xml_status == "Good"
     assert head.field_values == ["K1", "M1", "Top", "BRD-A", "GOOD", "12.5"]
     bad = {r.raw: (r.reason, r.bad_fields) for r in parsed.filter("xml_tag_name like '%detail'").collect()}
     assert bad == {
