@@ -156,6 +156,15 @@ def test_hot_group_covers_many_tasks(spark):
     assert (got["HOT"].n, got["HOT"].total, got["HOT"].range_sum) == pytest.approx(brute(hot))
 
 
+def test_copies_of_a_point_do_not_pile_up(spark):
+    df = spark.range(9000).selectExpr(
+        "'M' AS m", "if(id % 3 < 2, 50, id % 100) AS at", "if(id % 3 < 2, 7.0, double(id % 100)) AS v"
+    )
+    (got,) = slices.moving_ranges(df, ["m"], ["at"], "v", 6).collect()
+    plain = sorted((50, 7.0) if i % 3 < 2 else (i % 100, float(i % 100)) for i in range(9000))
+    assert (got.n, got.total, got.range_sum) == pytest.approx(brute([v for _, v in plain]))
+
+
 def test_numbering_of_hot_group(spark):
     df = spark.range(5000).selectExpr("if(id % 3 < 2, 'HOT', 'M') AS m", "5000 - id AS at")
     got = slices.numbered(df, ["m"], ["at"], slices=8).collect()
