@@ -128,6 +128,45 @@ def test_nozzle_with_and_without_plant(spark, rows):
     assert loose.filter("date_time = '2024-02-02'").count() == 2
 
 
+def test_hot_machine_is_split_when_lookups_are_too_large_to_broadcast(spark):
+    """The join of a lookup that does not fit a broadcast splits the rows of a hot machine."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "12",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        events = spark.range(0, 30000, 1, 8).selectExpr(
+            "'t' AS xml_tag_name", "concat('W', id % 40, '.x') AS product_id",
+            "timestamp'2024-01-01' AS date_time",
+            "if(id % 3 < 2, 'E0', concat('E', id % 300)) AS user_name",
+            *(f"int(id % {n}) AS {c}" for n, c in (
+                (5, "ul_production_time"), (6, "ul_setup_time"), (7, "ul_idle_time"),
+                (8, "ul_diagnostic_time"), (9, "ul_waiting_for_operator"),
+                (10, "ul_waiting_for_interrupt_recovery"), (11, "ul_waiting_for_board_in_workarea"),
+            )),
+        )
+        machines = spark.range(300).selectExpr(
+            "concat('M', id) AS machine_name", "'P' AS plant", "concat('E', id) AS equipment_make", "'A' AS head_1"
+        )
+        made = spark.range(40).selectExpr(
+            "concat('W', id) AS optel_schedule_wo", "concat('S', id) AS sap_wo", "'Top' AS side",
+            "'A' AS assembly", "'P' AS plant", "1.0 AS setup", "'u' AS wo_detail",
+        )
+        got = enrich.timers(events, machines, made)
+        assert len(got.collect()) == 30000
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_limit_is_repeatable(spark, rows):
     events, machines, info, wo = nozzle_inputs(spark)
     picked = [rows(enrich.nozzle(events.repartition(n), machines, info, wo, limit=2)) for n in (1, 5)]
