@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.llm import packing
+from linepulse.llm import packing, simhash
 from linepulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,9 @@ def op1_packing(spark, d):
         table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json")
     ).withColumn("ids_crc32", F.crc32("ids"))
     return packing.pack(cut.drop("ids"))
+
+
+@query
+def op9_simhash(spark, d):
+    found = simhash.near_duplicates(table(spark, d, "documents"), shingle=3, radius=2)
+    return found.withColumn("fingerprint", simhash.hex_digits("fingerprint"))
