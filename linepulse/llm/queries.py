@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.llm import packing, simhash
+from linepulse.llm import decontam, packing, quality, simhash
 from linepulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,34 @@ def op1_packing(spark, d):
     return packing.pack(cut.drop("ids"))
 
 
+@query
+def op2_quality(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    judged = quality.judge(docs.withColumn("text", F.col("text")))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select(
+        F.col("doc_id").cast("bigint"),
+        *[F.col("_q")[n].alias(n) for n in names],
+        "base_failed",
+        "kept",
+        "class_distance",
+        "word_distance",
+    )
+
+
+@query
+def op4_decontamination(spark, d):
+    found = decontam.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("hits").cast("bigint").alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 @query
 def op9_simhash(spark, d):
     found = simhash.near_duplicates(table(spark, d, "documents"), shingle=3, radius=2)
