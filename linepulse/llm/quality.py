@@ -42,10 +42,13 @@ CLASSES = {
 
 @dataclass(frozen=True)
 class Rules:
-    """Distances beyond which a document is rejected, and the lengths from which they count."""
+    """A document is rejected for a class distance beyond `class_distance`, or where both
+    distances are beyond the milder bounds. The lengths are those from which a distance counts.
+    """
 
-    class_distance: float = 0.25
-    word_distance: float = 0.40
+    class_distance: float = 0.30
+    mild_class_distance: float = 0.13
+    mild_word_distance: float = 0.28
     least_chars: int = 200
     least_words: int = 60
 
@@ -61,28 +64,52 @@ def _class_count(pattern: str) -> Column:
     return F.length(F.regexp_replace("_text", f"{other}++", "")).cast("bigint")
 
 
-def _repeat_words(words: Column, window: int = 8) -> Column:
-    """Words inside windows of `window` words that occur twice or more in the text.
+def let(value: Column, body) -> Column:
+    """body(value), with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _joined(hashes: Column, step: int) -> Column:
+    """Hashes of runs of words from those of runs half as long, `step` words each."""
+    return let(
+        hashes,
+        lambda h: F.zip_with(
+            F.slice(h, 1, F.size(h) - step),
+            F.slice(h, 1 + step, F.size(h)),
+            lambda x, y: F.xxhash64(x, y),
+        ),
+    )
+
+
+def _repeat_words(words: Column) -> Column:
+    """Words inside windows of eight words that occur twice or more in the text.
 
     The windows' 64-bit hashes are counted by a hash set; only texts with an equal pair are
-    sorted, and the places of repeated windows then cover min(window, gap to the next) words.
+    sorted, and the places of repeated windows then cover min(8, gap to the next) words.
     """
-    n = F.size(words)
-    hashes = F.transform(
-        F.sequence(F.lit(1), n - window + 1), lambda i: F.xxhash64(F.slice(words, i, window))
-    )
+    window = 8
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    for step in (1, 2, 4):
+        hashes = _joined(hashes, step)
 
     def covered(h: Column) -> Column:
         placed = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-        after = F.slice(placed, 2, F.size(placed))
-        same = F.zip_with(
-            placed, after, lambda x, y: F.when(x["h"] == y["h"], F.array(x["i"], y["i"]))
+        same = let(
+            placed,
+            lambda p: F.zip_with(
+                p,
+                F.slice(p, 2, F.size(p)),
+                lambda x, y: F.when(x["h"] == y["h"], F.array(x["i"], y["i"])),
+            ),
         )
         starts = F.array_sort(F.array_distinct(F.flatten(F.filter(same, lambda x: x.isNotNull()))))
-        gaps = F.zip_with(
+        gaps = let(
             starts,
-            F.slice(starts, 2, F.size(starts)),
-            lambda x, y: F.least(F.coalesce(y - x, F.lit(window)), F.lit(window)),
+            lambda p: F.zip_with(
+                p,
+                F.slice(p, 2, F.size(p)),
+                lambda x, y: F.least(F.coalesce(y - x, F.lit(window)), F.lit(window)),
+            ),
         )
         return F.aggregate(gaps, F.lit(0), lambda s, x: s + x).cast("bigint")
 
@@ -91,8 +118,15 @@ def _repeat_words(words: Column, window: int = 8) -> Column:
             covered(h)
         )
 
-    once = F.element_at(F.transform(F.array(hashes), judged), 1)  # hashes are computed once
-    return F.when(n > window, once).otherwise(F.lit(0).cast("bigint"))
+    return F.when(F.size(words) > window, let(hashes, judged)).otherwise(F.lit(0).cast("bigint"))
+
+
+def _shares(bins: Column) -> Column:
+    def of(counts: Column) -> Column:
+        total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda s, x: s + x)
+        return let(total, lambda n: F.transform(counts, lambda x: x / F.greatest(n, F.lit(1))))
+
+    return let(bins, of)
 
 
 def with_measures(docs: DataFrame) -> DataFrame:
@@ -110,7 +144,9 @@ def with_measures(docs: DataFrame) -> DataFrame:
         .withColumn("_classes", F.array(*[_class_count(p) for p in CLASSES.values()]))
     )
     rest = F.col("_chars") - F.aggregate("_classes", F.lit(0).cast("bigint"), lambda s, x: s + x)
-    hits = [F.size("_common") - F.size(F.array_remove("_common", w)) for w in WORDS]
+    hits = let(
+        F.col("_common"), lambda c: F.array(*[F.size(c) - F.size(F.array_remove(c, w)) for w in WORDS])
+    )
     n_words = F.size("_words").cast("bigint")
     symbol = list(CLASSES).index("symbol")
     measures = F.struct(
@@ -120,10 +156,10 @@ def with_measures(docs: DataFrame) -> DataFrame:
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
         _repeat_words(words).alias("n_repeat_words"),
         F.col("_chars").alias("n_chars"),
-        F.concat("_classes", F.array(F.greatest(rest, F.lit(0)))).alias("classes"),
-        F.concat(F.array(*hits), F.array(F.size("_words") - F.size("_common")))
-        .cast("array<bigint>")
-        .alias("common"),
+        _shares(F.concat("_classes", F.array(F.greatest(rest, F.lit(0))))).alias("classes"),
+        _shares(
+            F.concat(hits, F.array(F.size("_words") - F.size("_common"))).cast("array<bigint>")
+        ).alias("common"),
         F.when(F.col("lang").isin(list(COMMON)), F.col("lang")).otherwise("other").alias("lang"),
     )
     return counted.withColumn("_q", measures).drop(
@@ -136,11 +172,6 @@ def _base_failed() -> Column:
     return (q["n_words"] < 20) | (100 * q["n_repeat_words"] > 30 * q["n_words"])
 
 
-def _shares(bins: Column) -> Column:
-    total = F.aggregate(bins, F.lit(0).cast("bigint"), lambda s, x: s + x)
-    return F.transform(bins, lambda x: x / F.greatest(total, F.lit(1)))
-
-
 def references(measured: DataFrame, rules: Rules) -> dict[str, tuple[list[float], list[float]]]:
     """Mean shares of each language's documents: (classes, common words). At most five rows."""
     q = F.col("_q")
@@ -150,8 +181,8 @@ def references(measured: DataFrame, rules: Rules) -> dict[str, tuple[list[float]
         & (q["n_words"] >= rules.least_words)
     ).select(
         q["lang"].alias("lang"),
-        _shares(q["classes"]).alias("c"),
-        _shares(q["common"]).alias("w"),
+        q["classes"].alias("c"),
+        q["common"].alias("w"),
     )
     sizes = {"c": len(CLASSES) + 1, "w": len(WORDS) + 1}
     rows = fit.groupBy("lang").agg(
@@ -187,19 +218,22 @@ def judge(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     for lang, (c, w) in refs.items():
         own = q["lang"] == lang
         classes = F.when(
-            own & (q["word_chars"] >= rules.least_chars), js_distance(_shares(q["classes"]), c)
+            own & (q["word_chars"] >= rules.least_chars), js_distance(q["classes"], c)
         ).otherwise(classes)
         words = F.when(
-            own & (q["n_words"] >= rules.least_words), js_distance(_shares(q["common"]), w)
+            own & (q["n_words"] >= rules.least_words), js_distance(q["common"], w)
         ).otherwise(words)
     return (
         measured.withColumn("base_failed", _base_failed())
         .withColumn("class_distance", classes)
         .withColumn("word_distance", words)
-        .withColumn(
-            "kept",
-            ~F.col("base_failed")
-            & (F.coalesce("class_distance", F.lit(0.0)) <= rules.class_distance)
-            & (F.coalesce("word_distance", F.lit(0.0)) <= rules.word_distance),
-        )
+        .withColumn("kept", ~F.col("base_failed") & ~_far(rules))
+    )
+
+
+def _far(rules: Rules) -> Column:
+    classes = F.coalesce("class_distance", F.lit(0.0))
+    words = F.coalesce("word_distance", F.lit(0.0))
+    return (classes > rules.class_distance) | (
+        (classes > rules.mild_class_distance) & (words > rules.mild_word_distance)
     )
