@@ -42,10 +42,8 @@ def windows_of(text: str, window: int) -> set[tuple[bytes, ...]]:
 
 def word_counts(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
     """How often each word of a bounded vocabulary occurs in all documents."""
-    held = docs.sparkSession.sparkContext.broadcast(vocabulary)
-
     def work(batches):
-        wanted, counts = held.value, Counter()
+        wanted, counts = vocabulary, Counter()
         for batch in batches:
             for text in batch["text"]:
                 counts.update(filter(wanted.__contains__, words_of(text)))
@@ -53,7 +51,6 @@ def word_counts(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
 
     found = map_batches(docs.select("text"), "word binary, n bigint", work)
     rows = found.groupBy("word").agg(F.sum("n").alias("n")).collect()
-    held.unpersist()
     return {bytes(r[0]): r[1] for r in rows}
 
 
@@ -106,11 +103,9 @@ def contamination(
         rows = [(r[0], r[1]) for r in items.where(key == block).collect()]
         vocabulary = {w for _, text in rows for w in words_of(text)}
         index = prefix_index(rows, window, word_counts(docs, vocabulary) if rows else {})
-        held = docs.sparkSession.sparkContext.broadcast(index)
         last = block == blocks - 1
 
-        def work(batches, held=held, last=last):
-            index = held.value
+        def work(batches, index=index, last=last):
             for batch in batches:
                 out = {k: [] for k in ("doc_id", "text", "n_words", "hits", "items")}
                 for doc, text, hits, items in zip(

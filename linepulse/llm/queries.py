@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.llm import decontam, packing, quality, simhash
+from linepulse.llm import classifier, decontam, html, packing, quality, simhash, urls
 from linepulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,7 +56,53 @@ def op4_decontamination(spark, d):
     )
 
 
+@query
+def op6_html(spark, d):
+    found = html.main_text(table(spark, d, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def _rest(of: int):
+    """crc32 of doc_id as text, modulo `of`."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
+
+
+@query
+def op8_classifier(spark, d):
+    found = classifier.score(
+        table(spark, d, "documents"), table(spark, d, "labels"), learn_from=_rest(4) != 2
+    )
+    return found.select(
+        "doc_id",
+        (_rest(4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op9_simhash(spark, d):
     found = simhash.near_duplicates(table(spark, d, "documents"), shingle=3, radius=2)
     return found.withColumn("fingerprint", simhash.hex_digits("fingerprint"))
+
+
+#: Fixed values of the contract.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@query
+def op10_urls(spark, d):
+    """A page shows the document whose number its path ends with; labels of that document count."""
+    pages = table(spark, d, "pages").select("page_id", "url")
+    shown = F.regexp_extract("url", r"://[^?#]*/([0-9]{1,18})(?:\.html|/)?(?:[?#]|$)", 1)
+    labels = table(spark, d, "labels").select(
+        F.col("doc_id").alias("shown"), ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good")
+    )
+    labelled = pages.withColumn("shown", F.try_to_number(shown, F.lit("9" * 18)).cast("bigint"))
+    return urls.judge(pages, labelled.join(labels, "shown").select("url", "good"), URL_RULES)
