@@ -29,6 +29,7 @@ __all__ = [
     "ship",
     "table",
     "text_or_empty",
+    "with_rows",
 ]
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -44,6 +45,15 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def with_rows(docs: DataFrame, *columns: str) -> DataFrame:
+    """`columns` and `row`, a number of its own for each row: doc_id where that is unique."""
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
+    repeated = ids.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
+    if not repeated:
+        return docs.select(*columns, F.col("doc_id").cast("bigint").alias("row"))
+    return materialize(docs.select(*columns, F.monotonically_increasing_id().alias("row")), "rows")
+
+
 def ascii_lower(text: str) -> str:
     """Lower-cases A-Z and nothing else."""
     return text.translate(_LOWER)

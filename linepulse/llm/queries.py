@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.llm import classifier, decontam, html, packing, quality, simhash, urls
+from linepulse.llm import classifier, decontam, html, packing, quality, repeats, simhash, urls
 from linepulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,12 @@ def op6_html(spark, d):
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+@query
+def op7_repeats(spark, d):
+    found = repeats.remove_repeats(table(spark, d, "documents"), length=400)
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def _rest(of: int):
     """crc32 of doc_id as text, modulo `of`."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
