@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.llm import classifier, decontam, html, packing, quality, repeats, simhash, urls
+from linepulse.llm import classifier, decontam, html, packing, quality, repeats, simhash, suffix_tree, urls
 from linepulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def query(fn):
     return fn
 
 
+def _rest(of: int):
+    """crc32 of doc_id as text, modulo `of`."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
+
+
 @query
 def op1_packing(spark, d):
     cut = packing.pieces(
@@ -56,6 +61,12 @@ def op4_decontamination(spark, d):
     )
 
 
+@query
+def op5_suffix_tree(spark, d):
+    found = suffix_tree.score(table(spark, d, "documents"), learn=_rest(5) != 1)
+    return found.withColumn("held_out", ~F.col("learn")).drop("learn")
+
+
 @query
 def op6_html(spark, d):
     found = html.main_text(table(spark, d, "pages"))
@@ -68,11 +79,6 @@ def op7_repeats(spark, d):
     return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
-def _rest(of: int):
-    """crc32 of doc_id as text, modulo `of`."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
-
-
 @query
 def op8_classifier(spark, d):
     found = classifier.score(
