@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.llm import classifier, decontam, html, packing, quality, repeats, simhash, suffix_tree, urls
+from linepulse.llm import classifier, decontam, html, packing, pii, quality, repeats, simhash, suffix_tree, urls
 from linepulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,7 +36,7 @@ def op1_packing(spark, d):
 @query
 def op2_quality(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
-    judged = quality.judge(docs.withColumn("text", F.col("text")))
+    judged = quality.judge(docs)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select(
         F.col("doc_id").cast("bigint"),
@@ -48,6 +48,23 @@ def op2_quality(spark, d):
     )
 
 
+@query
+def op3_pii(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("bigint"), "text")
+    found = pii.spans(docs)
+    base = F.filter("_spans", lambda s: s["base"])
+
+    def number(rank):
+        return F.size(F.filter(base, lambda s: s["rank"] == rank)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *[number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:4])],
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("_spans")).alias("spans"),
+    )
+
+
 @query
 def op4_decontamination(spark, d):
     found = decontam.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
