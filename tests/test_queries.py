@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import database, same
+from linepulse.plans.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def con():
     return database(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert same(spark, con, queries()[name], oracle_sql()[name], FOLDER) == ""
 
