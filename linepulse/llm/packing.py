@@ -14,6 +14,7 @@ they occur. An empty table gives no pieces. Other columns, whatever their names,
 from __future__ import annotations
 
 import os
+import unicodedata
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -22,21 +23,65 @@ from pyspark.sql import functions as F
 from linepulse.llm.common import map_batches, materialize, parts_for, text_or_empty
 
 #: Words whose ids a Python worker remembers at most; then it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 #: Pieces ranked together.
 RANKED = 20_000
 
 _tokenizers: dict = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The public byte-level alphabet: printable bytes are themselves, others follow from 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class _Words:
-    """Ids of texts, by words between spaces, which the tokenizer's pieces never cross."""
+    """Ids of texts, by words between spaces, which the tokenizer's pieces never cross.
+
+    If the tokenizer lower-cases and splits letters from marks (it is asked once), the letters of a
+    word go straight to its model and the marks after them are remembered on their own; any word
+    of another form is encoded whole.
+    """
+
+    MARKS = ".,;:!?#$%&*|=-()\""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.marks = Tokenizer.from_file(path), {}, {}
+        self.letters = _byte_letters()
+        probe = ["Abc", "\u00c9t\u00e9", "Zq,", "a.,;", "\u00dfx#", "Word!!", "s$$$"]
+        self.plain = True
+        whole = [self._ids(w) for w in probe]
+        self.plain = [self._new(w) for w in probe] == whole
+
+    def _ids(self, word: str) -> bytes:
+        got = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return np.array(got, "<u4").tobytes()
+
+    def _new(self, word: str) -> bytes:
+        body = word.rstrip(self.MARKS)
+        low = body.lower()
+        if not (
+            self.plain
+            and low.isalpha()
+            and (low.isascii() or "\u03a3" not in body and unicodedata.is_normalized("NFC", body))
+            and low.islower()
+        ):
+            return self._ids(word)
+        mapped = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
+        got = np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
+        marks = word[len(body) :]
+        if not marks:
+            return got
+        if marks not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks = {}
+            self.marks[marks] = self._ids(marks)
+        return got + self.marks[marks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -44,13 +89,10 @@ class _Words:
         if len(self.known) > REMEMBERED:
             self.known = {}
         known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for word, got in zip(
-                part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True
-            ):
-                known[word] = np.array(got.ids, "<u4").tobytes()
+        for words in split:
+            for word in words:
+                if word not in known:
+                    known[word] = self._new(word)
         return [b"".join([known[w] for w in words]) for words in split]
 
 
