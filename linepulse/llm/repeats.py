@@ -10,7 +10,7 @@ about one run for 180 bytes, and only runs are shuffled, by anchor:
   suffix array finds their repeated windows: suffixes smaller than their successor are sorted
   directly, the others induced by scans over the buckets, and neighbours are compared;
 * an anchor in more different runs than a group holds (a line that very many documents share at
-  the edges of different text) has its windows counted by their hashes instead, by Spark.
+  the edges of different text) has its windows compared by their hashes, in blocks dealt by hash.
 
 Null text is an empty document. Each row is a document of its own, even if ids repeat. Bytes are
 judged on the input. An empty table gives no rows.
@@ -29,7 +29,7 @@ from linepulse.llm.common import map_batches, materialize, parts_for, ship, text
 #: Bytes whose hashes are compared to choose an anchor.
 GRAM = 48
 #: Bytes sorted together, and different runs of one anchor that still go to a group.
-SORTED_BYTES, MOST_RUNS = 1 << 18, 200
+SORTED_BYTES, MOST_RUNS = 1 << 18, 1000
 #: Windows of a text looked at together.
 AT_ONCE = 1 << 20
 
@@ -210,35 +210,86 @@ def _in_groups(parts: DataFrame, length: int) -> DataFrame:
     )
 
 
+def _window_hashes(parts: list[bytes], length: int, buckets: int):
+    """128-bit hashes of all windows of parts, and for each bucket the places of its hashes."""
+    found = b"".join(
+        xxhash.xxh3_128_digest(p[i : i + length]) for p in parts for i in range(len(p) - length + 1)
+    )
+    hashes = np.frombuffer(found, "<u8").reshape(-1, 2)
+    own = (hashes[:, 0] % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(own, kind="stable")
+    edges = np.searchsorted(own[order], np.arange(buckets + 1))
+    return hashes, [order[i:j] for i, j in zip(edges[:-1], edges[1:], strict=True)]
+
+
 def _by_hash(parts: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many different runs: windows counted by 128-bit hashes."""
+    """The same for anchors with very many different runs: windows compared by 128-bit hashes.
 
-    def windows(batches):
-        for batch in batches:
-            for row, first, n, part in zip(
-                *(batch[k] for k in ("row", "first", "n", "part")), strict=True
-            ):
-                count = len(part) - length + 1
-                yield {
-                    "row": [row] * count,
-                    "at": list(range(first, first + count)),
-                    "n": [n] * count,
-                    "hash": [xxhash.xxh3_128_digest(part[i : i + length]) for i in range(count)],
-                }
-
-    rows = materialize(
-        map_batches(
-            parts.select("row", "first", "n", "part"),
-            "row bigint, at bigint, n bigint, hash binary",
-            windows,
-        ),
-        "windows",
+    A batch of runs sends its windows' hashes, one block for each bucket of hashes; a bucket
+    answers each block with flags, in the same order, for the hashes that it has twice.
+    """
+    ship(parts.sparkSession)
+    windows = parts.agg(F.sum(F.col("size") - length + 1)).first()[0] or 0
+    batches, buckets = parts_for(windows, 200_000), parts_for(windows, 1_000_000)
+    parts = parts.withColumn("batch", F.pmod(F.xxhash64("row", "first"), F.lit(batches))).select(
+        "batch", "row", "first", "n", "part"
+    )
+    block = "batch bigint, bucket int, data binary"
+
+    def blocks(rows) -> pa.Table:
+        names = ("batch", "bucket", "data")
+        types = (pa.int64(), pa.int32(), pa.binary())
+        columns = zip(*rows, strict=True) if rows else ([], [], [])
+        return pa.Table.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names
+        )
+
+    def ordered(table: pa.Table) -> pa.Table:
+        return table.sort_by([("row", "ascending"), ("first", "ascending")])
+
+    def send(table: pa.Table) -> pa.Table:
+        table = ordered(table)
+        hashes, places = _window_hashes(table.column("part").to_pylist(), length, buckets)
+        batch = table.column("batch")[0].as_py()
+        return blocks([(batch, b, hashes[at].tobytes()) for b, at in enumerate(places) if len(at)])
+
+    def answer(table: pa.Table) -> pa.Table:
+        data = [np.frombuffer(x, "<u8").reshape(-1, 2) for x in table.column("data").to_pylist()]
+        both = np.concatenate(data)
+        order = np.lexsort((both[:, 0], both[:, 1]))
+        equal = np.concatenate([[False], (both[order[1:]] == both[order[:-1]]).all(axis=1), [False]])
+        flags = np.zeros(len(both), np.uint8)
+        flags[order] = equal[:-1] | equal[1:]
+        own = np.split(flags, np.cumsum([len(x) for x in data])[:-1])
+        where = zip(*(table.column(k).to_pylist() for k in ("batch", "bucket")), strict=True)
+        return blocks([(x, b, f.tobytes()) for (x, b), f in zip(where, own, strict=True)])
+
+    def receive(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = ordered(left)
+        pieces = left.column("part").to_pylist()
+        hashes, places = _window_hashes(pieces, length, buckets)
+        flags = np.zeros(len(hashes), bool)
+        for b, data in zip(*(right.column(k).to_pylist() for k in ("bucket", "data")), strict=True):
+            flags[places[b]] = np.frombuffer(data, np.uint8)
+        out, at = {"row": [], "start": [], "stop": []}, 0
+        for row, first, n, part in zip(
+            *(left.column(k).to_pylist() for k in ("row", "first", "n")), pieces, strict=True
+        ):
+            count = len(part) - length + 1
+            for start, stop in _ranges(flags[at : at + count], length) if n == 1 else ():
+                out["row"].append(row)
+                out["start"].append(first + start)
+                out["stop"].append(first + stop)
+            at += count
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in out.items()})
+
+    answers = (
+        parts.groupBy("batch").applyInArrow(send, block).groupBy("bucket").applyInArrow(answer, block)
     )
-    often = rows.groupBy("hash").count().where("count > 1").select("hash")
     return (
-        rows.where("n = 1")
-        .join(often, "hash", "left_semi")
-        .select("row", F.col("at").alias("start"), (F.col("at") + length).alias("stop"))
+        parts.groupBy("batch")
+        .cogroup(answers.groupBy("batch"))
+        .applyInArrow(receive, "row bigint, start bigint, stop bigint")
     )
 
 
