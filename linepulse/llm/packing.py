@@ -14,16 +14,21 @@ they occur. An empty table gives no pieces. Other columns, whatever their names,
 from __future__ import annotations
 
 import os
+import struct
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linepulse.llm.common import map_batches, materialize, parts_for, text_or_empty
+from linepulse.llm.common import materialize, parts_for, ship, text_or_empty
 
 #: Words whose ids a Python worker remembers at most; then it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
+#: Bytes of texts tokenized together, about.
+AT_ONCE = 8_000_000
 #: Pieces ranked together.
 RANKED = 20_000
 
@@ -37,6 +42,12 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+#: Texts that are not lower-cased before they are split: combining characters may compose with
+#: letters of one case only, and special tokens are lower case.
+_ODD = "[\u0300-\u036f\u02be]|<\\|"
+_AFTER = r"([a-z])([.,;:!?#$%&*|=()-]+ )"
+
+
 class _Words:
     """Ids of texts, by words between spaces, which the tokenizer's pieces never cross.
 
@@ -51,16 +62,16 @@ class _Words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.marks = Tokenizer.from_file(path), {}, {}
+        self.tokenizer, self.known, self.marks = Tokenizer.from_file(path), _Known(self), {}
         self.letters = _byte_letters()
         probe = ["Abc", "\u00c9t\u00e9", "Zq,", "a.,;", "\u00dfx#", "Word!!", "s$$$"]
         self.plain = True
         whole = [self._ids(w) for w in probe]
         self.plain = [self._new(w) for w in probe] == whole
+        self.known = _Known(self)
 
     def _ids(self, word: str) -> bytes:
-        got = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return np.array(got, "<u4").tobytes()
+        return _bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def _new(self, word: str) -> bytes:
         body = word.rstrip(self.MARKS)
@@ -72,8 +83,12 @@ class _Words:
             and low.islower()
         ):
             return self._ids(word)
-        mapped = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
-        got = np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
+        got = self.known.get(low)
+        if got is None:
+            mapped = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
+            got = _bytes([t.id for t in self.tokenizer.model.tokenize(mapped)])
+            if len(low) < len(word):
+                self.known[low] = got
         marks = word[len(body) :]
         if not marks:
             return got
@@ -83,51 +98,86 @@ class _Words:
             self.marks[marks] = self._ids(marks)
         return got + self.marks[marks]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [[w for w in t.replace("\n", " ").split(" ") if w] for t in texts]
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where each text's ids start (and the last one's end).
+
+        Different words are looked up once for all texts; ids are then gathered by word.
+        """
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        for words in split:
-            for word in words:
-                if word not in known:
-                    known[word] = self._new(word)
-        return [b"".join([known[w] for w in words]) for words in split]
+            self.known = _Known(self)
+        texts = pc.replace_substring(texts, "\n", " ")
+        if self.plain and not pc.any(pc.match_substring_regex(texts, _ODD)).as_py():
+            # marks after ASCII letters are words of their own, so there are fewer different ones
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), _AFTER, r"\1 \2")
+        split = pc.split_pattern(texts, " ")
+        words = split.flatten().dictionary_encode()
+        at = words.indices.to_numpy()
+        found = list(map(self.known.__getitem__, words.dictionary.to_pylist()))
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(counts) - counts
+        each = counts[at]
+        ends = np.cumsum(each)
+        place = np.repeat(starts[at] - (ends - each), each)
+        place += np.arange(len(place))
+        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return np.frombuffer(b"".join(found), "<u4")[place], bounds
+
+
+class _Known(dict):
+    """Ids by word; a word that is missing is encoded."""
+
+    def __init__(self, words: _Words):
+        self.words = words
+        self[""] = b""
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = got = self.words._new(word)
+        return got
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, group: int = 64
+    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1
 ) -> DataFrame:
     """Tokenizes whole texts, adds `end_id` and cuts: doc_id, start, length, doc_tokens and the
     ids as little-endian unsigned 32-bit numbers.
 
     `tokenizer` is a file of the `tokenizers` library whose pre-tokenizer splits at spaces.
     """
-    end = np.array([end_id], "<u4").tobytes()
+    end = _bytes([end_id])
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    names = ["doc_id", "start", "length", "doc_tokens", "ids"]
 
     def work(batches):
         if tokenizer not in _tokenizers:
             _tokenizers[tokenizer] = _Words(tokenizer)
         words = _tokenizers[tokenizer]
         for batch in batches:
-            for at in range(0, len(batch["text"]), group):
-                out = {k: [] for k in ("doc_id", "start", "length", "doc_tokens", "ids")}
-                ids = words.encode(batch["text"][at : at + group])
-                for doc, got in zip(batch["doc_id"][at : at + group], ids, strict=True):
-                    got += end
+            step = max(1, batch.num_rows * AT_ONCE // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                ids, bounds = words.encode(part.column("text"))
+                out = []
+                for doc, i, j in zip(
+                    part.column("doc_id").to_pylist(), bounds[:-1], bounds[1:], strict=True
+                ):
+                    got = ids[i:j].tobytes() + end
                     total = len(got) // 4
                     for start in range(0, total, capacity):
-                        part = got[4 * start : 4 * (start + capacity)]
-                        for k, v in zip(out, (doc, start, len(part) // 4, total, part), strict=True):
-                            out[k].append(v)
-                yield out
-
-    return map_batches(
-        docs.select(F.col("doc_id").cast("bigint"), text_or_empty().alias("text")),
-        "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary",
-        work,
-    )
+                        cut = got[4 * start : 4 * (start + capacity)]
+                        out.append((doc, start, len(cut) // 4, total, cut))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
+                    names,
+                )
+
+    ship(docs.sparkSession)
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")
+    ).mapInArrow(work, "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary")
 
 
 def best_pattern(worth: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
