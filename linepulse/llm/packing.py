@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from linepulse.llm.common import materialize, parts_for, ship, text_or_empty
 
 #: Words whose ids a Python worker remembers at most; then it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 #: Bytes of texts tokenized together, about.
-AT_ONCE = 8_000_000
+AT_ONCE = 4_000_000
 #: Pieces ranked together.
 RANKED = 20_000
 
@@ -173,6 +173,7 @@ def pieces(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
                     names,
                 )
+            pa.default_memory_pool().release_unused()
 
     ship(docs.sparkSession)
     return docs.select(
