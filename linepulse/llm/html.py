@@ -1,7 +1,8 @@
 """Main text of web pages: the maximum-scoring run of tokens.
 
 A page is a sequence of tags and words. Words score by where they stand (their nearest block, or
-the kind of boilerplate around them), tags score negative by their name. The weights are log odds
+the kind of boilerplate around them), tags score negative by their name. What stands in marked
+boilerplate is left out anyway, so it hardly keeps apart what is around it. The weights are log odds
 of being inside the article, counted over all pages that mark theirs with <article> or <main>.
 A linear scan finds the contiguous run of the greatest sum; boilerplate nested in it is left out.
 
@@ -171,7 +172,8 @@ def weigh(pages: DataFrame) -> dict[str, float]:
     return out
 
 
-#: A tag scores at most this, a word of a kind never seen scores this or its negative.
+#: A tag scores at most this, and just this below boilerplate, whose words score nothing; a word
+#: of a kind never seen scores this.
 TAG, WORD = -0.05, 1.0
 
 
@@ -181,9 +183,9 @@ def extract(page: str, weights: dict[str, float]) -> str:
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
     for k, (kind, name, text, _, out) in enumerate(found):
         if kind == "tag":
-            score = weights.get(name, TAG)
+            score = TAG if out else weights.get(name, TAG)
         else:
-            score = weights.get(name, -WORD if out else WORD) * len(text.split())
+            score = 0.0 if out else weights.get(name, WORD) * len(text.split())
         if total <= 0:
             total, start = 0.0, k
         total += score
