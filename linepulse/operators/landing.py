@@ -31,8 +31,7 @@ def _typed(spec: TableSpec, column: str) -> Column:
 def land(records: DataFrame, table: str) -> DataFrame:
     """Rows of one raw table: columns picked by name, cast to the fixed types.
 
-    A value that does not fit its column becomes NULL; the record's raw text stays in the
-    quarantine.
+    A value that does not fit its column becomes NULL; `misfits` tells which.
     """
     spec = SPECS[table]
     lineage = [
@@ -42,6 +41,26 @@ def land(records: DataFrame, table: str) -> DataFrame:
     return records.select(*lineage, *(_typed(spec, c).alias(c) for c in spec.columns))
 
 
+def misfits(spec: TableSpec) -> Column:
+    """Names of the columns whose message value is not blank but doesn't fit their type."""
+    names = [
+        F.expr(f"CASE WHEN nullif(trim({_field(spec, c)}), '') IS NOT NULL THEN '{c}' END")
+        for c in spec.columns
+    ]
+    lost = [
+        F.when(_typed(spec, c).isNull(), name)
+        for c, name in zip(spec.columns, names, strict=True)
+        if spec.kind(c) != "string"
+    ]
+    return F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
+
+
+def misfit_rows(classified: DataFrame, table: str) -> DataFrame:
+    """Records of a table that lose a value when they are landed, with ``bad_columns``."""
+    rows = classified.filter(F.col("record_type") == table)
+    return rows.withColumn("bad_columns", misfits(SPECS[table])).filter(F.size("bad_columns") > 0)
+
+
 def land_table(classified: DataFrame, table: str) -> DataFrame:
     """The rows of one table among records of several types."""
     return land(classified.filter(F.col("record_type") == table), table)

@@ -16,7 +16,7 @@ from linepulse.sinks import files, payloads, topics
 from linepulse.sources import envelope, records, tables
 from linepulse.streaming import events as event_stream
 from linepulse.streaming import kpi as kpi_stream
-from linepulse.streaming.ingest import ingest
+from linepulse.streaming.ingest import ingest, land_json
 from linepulse.streaming.lookup_store import LookupStore
 from linepulse.streaming.runner import start
 
@@ -957,3 +957,78 @@ def stream_enriched(spark, d):
     )
 
 
+
+
+def _timer_messages(spark, d) -> DataFrame:
+    """Timer records as JSON; the idle time of every seventh is no number, every ninth has no route."""
+    timers = view(spark, d, "timer_events").withColumn("n", F.length("product_id") + F.col("ul_idle_time"))
+    idle = F.when(F.col("n") % 7 == 0, "n/a").otherwise(F.col("ul_idle_time").cast("bigint").cast("string"))
+    tag = F.when(F.col("n") % 9 == 0, "c1-smt-other").otherwise(F.col("xml_tag_name"))
+    fields = F.struct(
+        tag.alias("xml_tag_name"),
+        F.col("product_id").alias("Product_ID"),
+        F.col("user_name").alias("User_Name"),
+        idle.alias("ulIdleTime"),
+    )
+    return timers.select(F.to_json(fields).alias("value"))
+
+
+def _landed_timers(spark, path: str) -> DataFrame:
+    rows = spark.read.schema(SPECS["ea_pap_timers"].schema).parquet(f"{path}/tables/ea_pap_timers")
+    return rows.select("product_id", "user_name", F.col("ul_idle_time").cast("bigint"))
+
+
+@query
+def stream_two_inlets(spark, d):
+    """Two topics that land in one set of tables: the rows of both are there."""
+    root = fresh_path(spark, "inlets")
+    made = _timer_messages(spark, d)
+    for name, own in (("a", F.length("value") % 2 == 0), ("b", F.length("value") % 2 == 1)):
+        made.filter(own).write.parquet(f"{root}/in/{name}")
+        inlet = spark.readStream.schema("value string").parquet(f"{root}/in/{name}")
+        land_json(inlet, f"{root}/out", f"{root}/checkpoint-{name}").awaitTermination()
+    return _landed_timers(spark, f"{root}/out")
+
+
+@query
+def stream_reset(spark, d):
+    """A second query with a fresh checkpoint: earlier rows stay and all rows come once more."""
+    root = fresh_path(spark, "reset")
+    _timer_messages(spark, d).write.parquet(f"{root}/in")
+    for checkpoint in ("first", "second", "second"):
+        inlet = spark.readStream.schema("value string").parquet(f"{root}/in")
+        land_json(inlet, f"{root}/out", f"{root}/{checkpoint}").awaitTermination()
+    return _landed_timers(spark, f"{root}/out")
+
+
+@query
+def stream_quarantine(spark, d):
+    """Landed and quarantined records of a stream are together all that came in."""
+    root = fresh_path(spark, "quarantine")
+    _timer_messages(spark, d).write.parquet(f"{root}/in")
+    inlet = spark.readStream.schema("value string").parquet(f"{root}/in")
+    land_json(inlet, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    lost = spark.read.parquet(f"{root}/out/quarantine")
+    fields = F.from_json("raw", "Product_ID string, User_Name string, ulIdleTime string")
+    return lost.select(
+        "reason", F.array_join("bad_columns", ",").alias("bad_columns"), fields.alias("f")
+    ).select(
+        "reason",
+        "bad_columns",
+        F.col("f.Product_ID").alias("product_id"),
+        F.col("f.User_Name").alias("user_name"),
+        F.col("f.ulIdleTime").alias("idle_text"),
+    )
+
+
+@query
+def stream_latest_after_reset(spark, d):
+    """The store keeps its rows, and newer ones win, when a query starts with a fresh checkpoint."""
+    rows = _event_versions(spark, d)
+    root = fresh_path(spark, "latest")
+    store = LookupStore(f"{root}/store", ["user_id", "event_type"], rows.schema, compact_every=2)
+    for number, part in enumerate(_spans("version", EVENT_CUTS)):
+        rows.filter(part).write.parquet(f"{root}/in/{number}")
+        inlet = spark.readStream.schema(rows.schema).parquet(f"{root}/in/{number}")
+        start(inlet, store.merge, f"{root}/checkpoint-{number}").awaitTermination()
+    return store.current(spark)

@@ -687,11 +687,13 @@ _check(
     "detail",
 )
 CHECKS["stream_ingest"] = """
-    WITH m AS (SELECT CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey % 6 ELSE -1 END AS c FROM orders)
+    WITH m AS (SELECT CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey % 6 ELSE -1 END AS c,
+                      CAST(o_totalprice AS DECIMAL(12, 2)) >= 100000 AS big FROM orders)
     SELECT 'ea_spi_header' AS table_name, count(*) FILTER (WHERE c = -1) AS row_count FROM m
     UNION ALL SELECT 'ea_spi_detail', 2 * count(*) FILTER (WHERE c = -1) FROM m
     UNION ALL SELECT 'ea_units', count(*) FILTER (WHERE c = 2) + 2 * count(*) FILTER (WHERE c = 4) FROM m
-    UNION ALL SELECT 'quarantine', count(*) FILTER (WHERE c IN (0, 2)) FROM m
+    UNION ALL SELECT 'quarantine', count(*) FILTER (WHERE c IN (0, 2)) + count(*) FILTER (WHERE c = -1 AND big)
+              FROM m
     UNION ALL SELECT 'records', 3 * count(*) FILTER (WHERE c = -1) + count(*) FILTER (WHERE c = 2)
                                 + 2 * count(*) FILTER (WHERE c = 4) FROM m"""
 _enriched(
@@ -703,3 +705,24 @@ _enriched(
     FROM ({_timers(_EQUIP)})""",
     "timer_events",
 )
+
+_TIMER_MESSAGES = """
+    SELECT product_id, user_name, CAST(ul_idle_time AS BIGINT) AS idle,
+           (length(product_id) + CAST(ul_idle_time AS BIGINT)) % 7 = 0 AS bad,
+           (length(product_id) + CAST(ul_idle_time AS BIGINT)) % 9 = 0 AS other
+    FROM timer_events"""
+_LANDED_TIMERS = f"""
+    SELECT product_id, user_name, CASE WHEN NOT bad THEN idle END AS ul_idle_time
+    FROM ({_TIMER_MESSAGES}) WHERE NOT other"""
+_check("stream_two_inlets", _LANDED_TIMERS, "timer_events")
+_check("stream_reset", f"{_LANDED_TIMERS} UNION ALL {_LANDED_TIMERS}", "timer_events")
+_check(
+    "stream_quarantine",
+    f"""
+    SELECT CASE WHEN other THEN 'unrouted' ELSE 'bad_column' END AS reason,
+           CASE WHEN other THEN '' ELSE 'ul_idle_time' END AS bad_columns,
+           product_id, user_name, CASE WHEN bad THEN 'n/a' ELSE CAST(idle AS VARCHAR) END AS idle_text
+    FROM ({_TIMER_MESSAGES}) WHERE other OR bad""",
+    "timer_events",
+)
+CHECKS["stream_latest_after_reset"] = CHECKS["latest_version"]

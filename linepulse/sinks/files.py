@@ -1,7 +1,8 @@
 """Rows to tables and folders.
 
-Batches of a stream go to a folder of their own below the table (``batch=<id>``), so a
-batch that is run again replaces its own rows and nothing else.
+Batches of a stream go to a folder of their own below the table, named by the run and the batch
+(``run=<run>/batch=<id>``). A run is a query with its checkpoint, so a batch that is run again
+replaces its own rows, and neither another query nor a fresh checkpoint replaces any.
 """
 
 from __future__ import annotations
@@ -22,8 +23,17 @@ def append_table(df: DataFrame, table: str) -> None:
     df.select(*columns).write.insertInto(table)
 
 
+def batch_key(batch_id: int | str) -> str:
+    """The name of a batch that no batch of another run has."""
+    run = getattr(batch_id, "run", None)
+    return f"{run}-{int(batch_id)}" if run else str(batch_id)
+
+
 def _batch_folder(path: str, batch_id: int | None) -> str:
-    return path if batch_id is None else f"{path}/{BATCH}={batch_id}"
+    if batch_id is None:
+        return path
+    run = getattr(batch_id, "run", None)
+    return f"{path}/run={run}/{BATCH}={int(batch_id)}" if run else f"{path}/{BATCH}={batch_id}"
 
 
 def append_parquet(

@@ -71,12 +71,17 @@ def _described(node: Column) -> Column:
     )
 
 
-def _description(node: Column, position: Column, nodes: Column) -> Column:
-    """Field description of a node; one without takes that of the nearest node before it."""
-    before = F.filter(
-        F.transform(F.slice(nodes, 1, position), _described), lambda v: v.isNotNull()
+def _descriptions(nodes: Column) -> Column:
+    """Field descriptions of all nodes; one without takes that of the nearest node before it."""
+    start = F.struct(
+        F.lit(None).cast(_TAG_VALUE).alias("last"), F.array().cast(T.ArrayType(_TAG_VALUE)).alias("all")
     )
-    return F.coalesce(_described(node), F.try_element_at(before, F.lit(-1)))
+
+    def step(state, node):
+        last = F.coalesce(_described(node), state["last"])
+        return F.struct(last.alias("last"), F.concat(state["all"], F.array(last)).alias("all"))
+
+    return F.aggregate(nodes, start, step, lambda s: s["all"])
 
 
 def _clean(line: Column, values: Column) -> Column:
@@ -121,17 +126,25 @@ def parse(
     """
     load = load_time if load_time is not None else F.current_timestamp()
     name = F.lit(batch_name) if isinstance(batch_name, str) else batch_name
-    envelope = messages.select(
-        F.col(value).alias("raw_message"),
-        F.from_xml(value, ENVELOPE, _XML_OPTIONS).alias("x"),
+    both = F.struct(
+        F.col(value).alias("raw_message"), F.from_xml(value, ENVELOPE, _XML_OPTIONS).alias("x")
+    )
+    # an exploded array of one: filters stay above it, so a message is parsed once
+    envelope = messages.select(F.explode(F.array(both)).alias("m")).select("m.raw_message", "m.x")
+    found = F.col("x.LiveTextData")
+    described = F.zip_with(
+        found,
+        _descriptions(found),
+        lambda node, about: F.struct(node.alias("node"), about.alias("about")),
     )
+    corrupt = F.col("x._corrupt_record").isNotNull()
     nodes = envelope.select(
-        "raw_message",
+        F.when(corrupt, F.col("raw_message")).alias("raw_message"),
         F.coalesce("x._filename", F.lit("")).alias("file_name"),
-        F.col("x._corrupt_record").isNotNull().alias("corrupt"),
-        F.col("x.LiveTextData").alias("nodes"),
-        F.posexplode_outer("x.LiveTextData").alias("position", "node"),
-    )
+        corrupt.alias("corrupt"),
+        F.size(found).alias("count"),
+        F.posexplode_outer(described).alias("position", "n"),
+    ).select("*", "n.node", "n.about")
     content = F.array_join(
         F.transform("node.TagValue", lambda v: F.coalesce(v["_VALUE"], F.lit(""))), ""
     )
@@ -140,8 +153,8 @@ def parse(
         "file_name",
         "corrupt",
         "node",
-        _description(F.col("node"), F.col("position"), F.col("nodes")).alias("about"),
-        ((F.col("position") == 0) & (F.size("nodes") > 1)).alias("is_header"),
+        "about",
+        ((F.col("position") == 0) & (F.col("count") > 1)).alias("is_header"),
         F.coalesce(content, F.lit("")).alias("content"),
     ).select(
         "*",

@@ -2,14 +2,40 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from linepulse.sinks.files import append_parquet
 
 
+class BatchId(int):
+    """The number of a batch and the run it belongs to."""
+
+    run: str
+
+    def __new__(cls, number: int, run: str):
+        made = super().__new__(cls, number)
+        made.run = run
+        return made
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the run that a checkpoint belongs to; it is kept in the checkpoint."""
+    path = f"{checkpoint.rstrip('/')}/run"
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    run = uuid.uuid4().hex[:12]
+    spark.createDataFrame([(run,)], "value string").coalesce(1).write.text(path)
+    return run
+
+
 def start(
     stream: DataFrame,
     each: Callable[[DataFrame, int], None],
@@ -21,10 +47,12 @@ def start(
 
     `interval` is the time between batches; without it the query works through what is
     there and stops. The checkpoint holds the position: a query has its own, and a batch
-    that did not finish is run again under the same id.
+    that did not finish is run again under the same id. `each` gets the id as a `BatchId`,
+    so a query with a fresh checkpoint, which counts from zero again, writes elsewhere.
     """
+    run = run_id(stream.sparkSession, checkpoint)
     writer = (
-        stream.writeStream.foreachBatch(each)
+        stream.writeStream.foreachBatch(lambda batch, number: each(batch, BatchId(number, run)))
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
     )
