@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _BETWEEN = "\u0001"
-_MARKS = " \t#_/.-()%&:"
 
 
 def blank(c: Column) -> Column:
@@ -19,12 +18,12 @@ def stripped(c: Column) -> Column:
 
 
 def keys_of(names: Column) -> Column:
-    """Header names without case, blanks and marks, as headers vary in spelling.
+    """Header names without case and all but letters and digits, as headers vary in spelling.
 
     The names go through the functions as one text, which costs less than one by one.
     """
     joined = F.array_join(names, _BETWEEN)
-    return F.split(F.lower(F.translate(joined, _MARKS, "")), _BETWEEN)
+    return F.split(F.lower(F.regexp_replace(joined, f"[^A-Za-z0-9{_BETWEEN}]", "")), _BETWEEN)
 
 
 def machine_side(machine: Column, side: Column) -> Column:

@@ -166,8 +166,7 @@ def volume(pads: DataFrame, inspections: DataFrame, as_of=None, compat: bool = F
     """Mean paste volume of every machine and side, on each of its boards."""
     measured = board_volumes(pads, inspections)
     units = unit_means(measured)
-    keys = pads.select("generated_key").distinct()
-    boards = inspections.select(*_BOARD).join(keys, "generated_key", "left_semi").distinct()
+    boards = measured.select(*_BOARD).distinct()
     joined = units.join(boards, _UNIT).withColumn(
         "interval_id", times.interval_id(F.col("max_inspection_end_time"), compat=compat)
     )

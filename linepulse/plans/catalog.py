@@ -446,8 +446,9 @@ def comma_join(spark, d):
 @query
 def limited_newest(spark, d):
     """The result cap, with an order that makes it repeatable."""
-    rows = view(spark, d, "timer_events").select("product_id", "user_name", "ul_idle_time")
-    return enrich.limited(rows, 100, ["product_id", "user_name", "ul_idle_time"])
+    rows = view(spark, d, "timer_events").select("date_time", "product_id", "user_name", "ul_idle_time")
+    newest = [F.col("date_time").desc(), "product_id", "user_name", "ul_idle_time"]
+    return enrich.limited(rows, 100, newest)
 
 
 def _wide(spark, d) -> DataFrame:
@@ -709,7 +710,7 @@ def payload_sizes(spark, d):
 def payload_tables(spark, d):
     """Landed tables pushed to a service each, and the cost table."""
     landed = {
-        "ea_pap_timers": view(spark, d, "timer_events").distinct(),
+        "ea_pap_timers": view(spark, d, "timer_events"),
         "ea_wodetail": _lookup(spark, d, "wodetail"),
     }
     keys = {
@@ -725,10 +726,14 @@ def payload_tables(spark, d):
 
 @query
 def payload_nozzle_v1(spark, d):
-    events = nozzle_v1(spark, d).withColumn("date_time", F.date_format("date_time", "yyyy-MM-dd"))
-    rows = events.distinct()
+    """All events, also equal ones; the times in the payloads' text are read back."""
+    rows = nozzle_v1(spark, d)
     bodies = payloads.payloads(rows, rows.columns, 1000)
-    return bodies.agg(F.sum("row_count").alias("row_count"))
+    each = F.explode(F.from_json("payload", "array<struct<date_time:timestamp,ch_hole:string>>"))
+    read = bodies.select(F.col("row_count"), each.alias("e"))
+    return read.groupBy(F.col("e.ch_hole").alias("ch_hole")).agg(
+        F.count("*").alias("row_count"), F.max("e.date_time").alias("last_time")
+    )
 
 
 @query
@@ -767,7 +772,10 @@ def archive_roundtrip(spark, d):
 
 # --- reports ----------------------------------------------------------------------------
 
-_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+_COUNTED = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
 
 
 @query

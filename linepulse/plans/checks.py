@@ -444,8 +444,8 @@ _enriched(
 _check(
     "limited_newest",
     """
-    SELECT product_id, user_name, ul_idle_time FROM timer_events
-    ORDER BY product_id, user_name, ul_idle_time LIMIT 100""",
+    SELECT date_time, product_id, user_name, ul_idle_time FROM timer_events
+    ORDER BY date_time DESC, product_id, user_name, ul_idle_time LIMIT 100""",
     "timer_events",
 )
 
@@ -630,7 +630,7 @@ CHECKS["payload_sizes"] = """
 _check(
     "payload_tables",
     f"""
-    SELECT 'ea_pap_timers_service' AS service, count(*) AS row_count FROM (SELECT DISTINCT * FROM timer_events)
+    SELECT 'ea_pap_timers_service' AS service, count(*) AS row_count FROM timer_events
     UNION ALL SELECT 'ea_wodetail_service', count(*) FROM ({_current('wodetail')})
     UNION ALL SELECT 'materialcost_service', count(*) FROM material_cost_raw""",
     "timer_events",
@@ -639,7 +639,8 @@ _check(
 )
 _enriched(
     "payload_nozzle_v1",
-    f"SELECT count(*) AS row_count FROM (SELECT DISTINCT * FROM ({_V1}))",
+    f"""SELECT ch_hole, count(*) AS row_count, max(date_time) AS last_time
+        FROM ({_V1}) GROUP BY ch_hole""",
     "nozzle_events",
 )
 _check(
@@ -659,7 +660,8 @@ CHECKS["archive_roundtrip"] = "SELECT c_name FROM customer"
 
 CHECKS["row_count_report"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
-    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+              "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 )
 CHECKS["freshness_report"] = """
     SELECT 'orders' AS table_name, max(o_orderdate) AS last_updated FROM orders

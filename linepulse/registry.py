@@ -60,7 +60,7 @@ class TableSpec:
         return "int" if column.startswith("ul_") else "string"
 
     def field_key(self, column: str) -> str:
-        """Key of the message field (see ``text.key_of``) that fills `column`."""
+        """Key of the message field (see ``text.keys_of``) that fills `column`."""
         return re.sub("[^A-Za-z0-9]", "", self.source.get(column, column)).lower()
 
     @property
