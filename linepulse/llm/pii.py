@@ -260,12 +260,13 @@ def train(found: DataFrame) -> list[np.ndarray]:
     return classifier(features, reliabilities(votes, counts), counts)
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """docs with `_spans`: the base spans and those added, by start and kind.
+def spans(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """docs (or those columns) with `_spans`: the base spans and those added, by start and kind.
 
     The candidates are written once, so the classifier is trained on what it then judges.
     """
-    found = materialize(candidates(docs), "candidates")
+    found = candidates(docs).select(*(columns or docs.columns), "_spans")
+    found = materialize(found, "candidates")
     weights = train(found)
 
     def wanted(s: Column) -> Column:

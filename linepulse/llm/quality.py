@@ -205,13 +205,18 @@ def js_distance(p: Column, q: list[float]) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2, F.lit(0.0)))
 
 
-def judge(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
-    """docs with `_q`, base_failed, class_distance, word_distance and kept added.
+def judge(
+    docs: DataFrame, rules: Rules | None = None, columns: list[str] | None = None
+) -> DataFrame:
+    """docs (or those columns) with `_q`, base_failed, class_distance, word_distance and kept.
+
+    What is asked for is written once with the measures; without the texts that is little.
 
     A distance is null where a guard holds or where the language has no reference.
     """
     rules = rules or Rules()
-    measured = materialize(with_measures(docs), "measures")
+    measured = with_measures(docs)
+    measured = materialize(measured.select(*(columns or docs.columns), "_q"), "measures")
     refs = references(measured, rules)
     q = F.col("_q")
     classes, words = F.lit(None).cast("double"), F.lit(None).cast("double")

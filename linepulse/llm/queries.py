@@ -36,7 +36,7 @@ def op1_packing(spark, d):
 @query
 def op2_quality(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
-    judged = quality.judge(docs)
+    judged = quality.judge(docs, columns=["doc_id"])
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select(
         F.col("doc_id").cast("bigint"),
@@ -51,7 +51,7 @@ def op2_quality(spark, d):
 @query
 def op3_pii(spark, d):
     docs = table(spark, d, "documents").select(F.col("doc_id").cast("bigint"), "text")
-    found = pii.spans(docs)
+    found = pii.spans(docs, columns=["doc_id"])
     base = F.filter("_spans", lambda s: s["base"])
 
     def number(rank):
