@@ -43,6 +43,10 @@ HEADLINE = (
     "payload_sizes",
     "row_count_report",
     "freshness_report",
+    "stream_latest",
+    "stream_two_inlets",
+    "stream_reset",
+    "stream_quarantine",
 )
 
 
