@@ -143,7 +143,15 @@ def parse(
         F.coalesce("x._filename", F.lit("")).alias("file_name"),
         corrupt.alias("corrupt"),
         F.size(found).alias("count"),
-        F.posexplode_outer(described).alias("position", "n"),
+        described.alias("described"),
+    )
+    # scalars first, so that an exploded node doesn't carry its whole message
+    nodes = nodes.select(
+        "raw_message",
+        "file_name",
+        "corrupt",
+        "count",
+        F.posexplode_outer("described").alias("position", "n"),
     ).select("*", "n.node", "n.about")
     content = F.array_join(
         F.transform("node.TagValue", lambda v: F.coalesce(v["_VALUE"], F.lit(""))), ""
