@@ -88,7 +88,7 @@ def contamination(
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
         text_or_empty().alias("text"),
-    )
+    ).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = parts_for(size, block_bytes)
     key = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))

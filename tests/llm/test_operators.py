@@ -288,6 +288,18 @@ def test_word_scores(docs, none, texts):
     assert by_id(suffix_tree.score(docs, F.lit(False)))[3]["train_tokens"] == 0
 
 
+def test_scores_do_not_depend_on_batches(spark, docs, texts, monkeypatch):
+    learn = F.col("doc_id") % 3 != 1
+    whole = by_id(suffix_tree.score(docs, learn))
+    monkeypatch.setattr(suffix_tree, "BATCH_BYTES", 20_000)
+    monkeypatch.setattr(suffix_tree, "BUCKET_BYTES", 20_000)
+    monkeypatch.setattr(suffix_tree, "TOGETHER", 2)  # symbol codes are added up in several rounds
+    parts = by_id(suffix_tree.score(docs, learn))
+    for k in range(len(texts)):
+        for name, value in whole[k].asDict().items():
+            assert parts[k][name] == pytest.approx(value), name
+
+
 def test_suffix_tree_is_a_distribution():
     text = b"abracadabra and abacus; " * 40
     grams, counts = np.unique(suffix_tree.codes(text), return_counts=True)
