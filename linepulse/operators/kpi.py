@@ -164,7 +164,11 @@ def board_volumes(pads: DataFrame, inspections: DataFrame) -> DataFrame:
 
 def volume(pads: DataFrame, inspections: DataFrame, as_of=None, compat: bool = False) -> DataFrame:
     """Mean paste volume of every machine and side, on each of its boards."""
-    measured = board_volumes(pads, inspections)
+    return board_records(board_volumes(pads, inspections), as_of, compat)
+
+
+def board_records(measured: DataFrame, as_of=None, compat: bool = False) -> DataFrame:
+    """Mean paste volume of every machine and side, on each board, from volume sums of boards."""
     units = unit_means(measured)
     boards = measured.select(*_BOARD).distinct()
     joined = units.join(boards, _UNIT).withColumn(

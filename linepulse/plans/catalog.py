@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linepulse.functions import convert, text, times
 from linepulse.operators import enrich, kpi, landing, limits, lookups, report, routing, wide
 from linepulse.plans.views import table, view
-from linepulse.registry import KPI_SCHEMA, SPECS
+from linepulse.registry import KPI_SCHEMA, KPI_TABLES, ROUTES, SPECS
 from linepulse.session import fresh_path, materialize
 from linepulse.sinks import files, payloads, topics
 from linepulse.sources import envelope, records, tables
@@ -860,21 +860,61 @@ def stream_latest(spark, d):
 @query
 def stream_kpi(spark, d):
     """Mean volume from two streams joined on the board key."""
-    inspections = view(spark, d, "header")
-    times_of = inspections.select("generated_key", F.col("inspection_end").alias("measured_at"))
-    pads = view(spark, d, "detail").join(times_of, "generated_key")
     root = fresh_path(spark, "volume")
+    _board_volumes(spark, d, root)
+    boards = spark.read.parquet(f"{root}/boards")
+    return _round(kpi.unit_means(boards), "volume_result")
+
+
+def _board_volumes(spark, d, root: str, **options) -> None:
+    """Headers and pads as they are sent, each with its own load time; a pad may come years off."""
+    pads = table(spark, d, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("generated_key"),
+        F.col("l_quantity").alias("volume"),
+        F.col("l_shipdate").cast("timestamp").alias("loaded_at"),
+    )
     _arrivals(
         spark,
         root,
-        {"headers": (inspections, "inspection_end"), "pads": (pads, "measured_at")},
+        {"headers": (view(spark, d, "header"), "inspection_end"), "pads": (pads, "loaded_at")},
         ORDER_CUTS,
         lambda streams: kpi_stream.board_volume_stream(
-            streams["headers"], streams["pads"], f"{root}/boards", f"{root}/checkpoint"
+            streams["headers"],
+            streams["pads"],
+            f"{root}/boards",
+            f"{root}/checkpoint",
+            span="3000 days",
+            pad_time="loaded_at",
+            **options,
         ),
     )
-    boards = spark.read.parquet(f"{root}/boards")
-    return _round(kpi.unit_means(boards), "volume_result")
+
+
+@query
+def stream_kpi_limits(spark, d):
+    """Records of all indicators from streams to a topic, to the KPI store, to limits."""
+    root = fresh_path(spark, "limits")
+    _board_volumes(spark, d, f"{root}/volume", topic="kpi", as_of=DAY)
+    _arrivals(
+        spark,
+        f"{root}/ratios",
+        {"headers": (view(spark, d, "header"), "inspection_end")},
+        ORDER_CUTS,
+        lambda streams: kpi_stream.ratio_stream(
+            streams["headers"], f"{root}/ratios/topics", f"{root}/ratios/checkpoint", "kpi", DAY
+        ),
+    )
+    for name, path in (("volume", "volume/boards_topics"), ("ratios", "ratios/topics")):
+        messages = spark.readStream.schema("value string").parquet(f"{root}/{path}/*/*/topic=kpi")
+        kpi_stream.store_stream(
+            messages, f"{root}/store", f"{root}/checkpoint-{name}"
+        ).awaitTermination()
+    stores = {
+        name: spark.read.schema(KPI_SCHEMA).parquet(f"{root}/store/{kept}")
+        for name, kept in KPI_TABLES.items()
+    }
+    out = limits.control_limits(stores, kpi.machines(view(spark, d, "header")), DAY)
+    return _round(out, *_LIMITS)
 
 
 @query
@@ -967,6 +1007,71 @@ def stream_enriched(spark, d):
 
 
 
+def _record_messages(df: DataFrame, tag: str | Column) -> DataFrame:
+    """Rows as JSON records."""
+    kinds = dict(df.dtypes)
+    fields = [
+        F.date_format(c, times.ISO).alias(c) if kinds[c].startswith("timestamp") else F.col(c)
+        for c in df.columns
+        if c != "xml_tag_name"
+    ]
+    first = F.lit(tag) if isinstance(tag, str) else tag
+    return df.select(F.to_json(F.struct(first.alias("xml_tag_name"), *fields)).alias("value"))
+
+
+def _wide_stream(spark, d) -> str:
+    """All master data by one inlet, then all four event types by another one; the folder."""
+    root = fresh_path(spark, "wide")
+    derived = ("version", "wo_detail", "head_spindle", "ref_des", "Pcircuit")
+    for name, spec in lookups.LOOKUPS.items():
+        rows = _record_messages(_lookup(spark, d, name).drop(*derived), f"c1-smt-m{ROUTES[spec.table]}")
+        rows.write.parquet(f"{root}/master/{name}")
+    for kind in ("nozzle", "timer", "defect", "slot"):
+        events = view(spark, d, f"{kind}_events")
+        if kind == "timer":  # some come without a time
+            late = F.length("product_id") % 3 == 0
+            events = events.withColumn("date_time", F.when(~late, F.col("date_time")))
+        _record_messages(events, F.col("xml_tag_name")).write.parquet(f"{root}/events/{kind}")
+    stores = event_stream.lookup_stores(f"{root}/lookups")
+    for inlet in ("master", "events"):
+        messages = spark.readStream.schema("value string").parquet(f"{root}/{inlet}/*")
+        event_stream.enrich_stream(
+            records.json_records(messages),
+            f"{root}/out",
+            f"{root}/checkpoint-{inlet}",
+            stores,
+            cost=lambda s: tables.material_cost(view(s, d, "material_cost_raw")),
+            as_of=DAY,
+            topic="wide",
+            service="wide_service",
+            size=100,
+            buckets=8,
+        ).awaitTermination()
+    return f"{root}/out"
+
+
+_WIDE_SCHEMA = ", ".join(f"{c} {kind}" for c, kind in wide.WIDE_KINDS.items())
+
+
+@query
+def stream_wide(spark, d):
+    """The wide events of a stream, read from the messages of their topic."""
+    messages = spark.read.schema("value string").parquet(f"{_wide_stream(spark, d)}/topics")
+    return records.typed_json(messages, _WIDE_SCHEMA)
+
+
+@query
+def stream_payloads(spark, d):
+    """The same events, read from the text of their request bodies."""
+    bodies = spark.read.parquet(f"{_wide_stream(spark, d)}/payloads")
+    fields = ", ".join(f"{c}: {kind}" for c, kind in wide.WIDE_KINDS.items())
+    each = F.explode(F.from_json("payload", f"array<struct<{fields}>>"))
+    full = F.max("row_count").over(Window.partitionBy("service")).alias("most_rows")
+    return bodies.select("service", "row_count", "payload", full).select(
+        "service", (F.col("most_rows") <= 100).alias("bounded"), each.alias("e")
+    ).select("service", "bounded", "e.*")
+
+
 def _timer_messages(spark, d) -> DataFrame:
     """Timer records as JSON; the idle time of every seventh is no number, every ninth has no route."""
     timers = view(spark, d, "timer_events").withColumn("n", F.length("product_id") + F.col("ul_idle_time"))

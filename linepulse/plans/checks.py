@@ -688,6 +688,55 @@ _check(
     "header",
     "detail",
 )
+_SPAN = "(CASE WHEN {0} < TIMESTAMP '1997-01-01' THEN 0 WHEN {0} < TIMESTAMP '1999-01-01' THEN 1 ELSE 2 END)"
+
+
+def _stream_limits() -> str:
+    """Ratios of the boards of a batch; means of the pads joined in one, with their unit's last time."""
+    parts = {
+        kpi: f"""
+        SELECT machine_id, pcb_side, generated_key, inspection_end,
+               coalesce(count(*) FILTER (WHERE pcb_result IN ({good})) OVER w * 1.0::DOUBLE
+                        / nullif(count(*) FILTER (WHERE pcb_result IN ('GOOD', 'PASS', 'FAIL')) OVER w, 0),
+                        0) AS result
+        FROM header WINDOW w AS (PARTITION BY machine_id, pcb_side, {_SPAN.format('inspection_end')})"""
+        for kpi, good in (("fpy", "'GOOD', 'PASS'"), ("ffr", "'PASS'"))
+    }
+    parts["volume"] = f"""
+        SELECT machine_id, pcb_side, generated_key, max(inspection_end) OVER w AS inspection_end,
+               sum(l_quantity) OVER w / count(l_quantity) OVER w AS result
+        FROM header JOIN lineitem ON generated_key = CAST(l_orderkey AS STRING)
+        WINDOW w AS (PARTITION BY machine_id, pcb_side,
+                     greatest({_SPAN.format('inspection_end')}, {_SPAN.format('l_shipdate')}))"""
+    made = []
+    for kpi, rows in parts.items():
+        points = f"""
+            (SELECT machine_id, pcb_side, {QUARTER.format('inspection_end')} AS interval_id, result,
+                    max(inspection_end) AS last_at, min(generated_key) AS generated_key
+             FROM ({rows}) GROUP BY ALL)"""
+        made.append(f"{kpi} AS ({_xmr(points, 'machine_id, pcb_side', 'last_at, generated_key, result')})")
+    columns = ", ".join(
+        f"round({kpi}.{c}, 6) AS {kpi}_{c}" for kpi in parts for c in ("ucl", "lcl", "mean")
+    )
+    return f"""
+    , {', '.join(made)},
+    m AS (SELECT DISTINCT machine_id, pcb_side, {SIDE} AS "machineId_side" FROM header)
+    SELECT m.*, {columns}, TIMESTAMP '2024-01-30 00:00:00' AS kpi_limit_calculation_time
+    FROM m LEFT JOIN fpy USING (machine_id, pcb_side) LEFT JOIN ffr USING (machine_id, pcb_side)
+    LEFT JOIN volume USING (machine_id, pcb_side)"""
+
+
+_check("stream_kpi_limits", _stream_limits(), "header")
+_STREAM_WIDE = f"""
+    SELECT * REPLACE (CASE WHEN table_name = 'timers' AND length(product_id) % 3 = 0
+                           THEN '2024-01-30 00:00:00' ELSE date_time END AS date_time)
+    FROM ({_WIDE})"""
+_enriched("stream_wide", _STREAM_WIDE, *_WIDE_VIEWS)
+_enriched(
+    "stream_payloads",
+    f"SELECT 'wide_service' AS service, true AS bounded, * FROM ({_STREAM_WIDE})",
+    *_WIDE_VIEWS,
+)
 CHECKS["stream_ingest"] = """
     WITH m AS (SELECT CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey % 6 ELSE -1 END AS c,
                       CAST(o_totalprice AS DECIMAL(12, 2)) >= 100000 AS big FROM orders)

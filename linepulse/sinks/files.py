@@ -29,20 +29,26 @@ def batch_key(batch_id: int | str) -> str:
     return f"{run}-{int(batch_id)}" if run else str(batch_id)
 
 
-def _batch_folder(path: str, batch_id: int | None) -> str:
+def batch_folder(path: str, batch_id: int | None) -> str:
     if batch_id is None:
         return path
     run = getattr(batch_id, "run", None)
     return f"{path}/run={run}/{BATCH}={int(batch_id)}" if run else f"{path}/{BATCH}={batch_id}"
 
 
+def written(df: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """The rows of a batch, appended to a folder and read back for further products."""
+    append_parquet(df, path, batch_id)
+    return df.sparkSession.read.schema(df.schema).parquet(batch_folder(path, batch_id))
+
+
 def append_parquet(
     df: DataFrame, path: str, batch_id: int | None = None, gather: bool = False
 ) -> None:
     """Append to a folder; `gather` moves the rows of many small tasks into few files."""
     mode = "append" if batch_id is None else "overwrite"
     rows = df.hint("rebalance") if gather else df
-    rows.write.mode(mode).parquet(_batch_folder(path, batch_id))
+    rows.write.mode(mode).parquet(batch_folder(path, batch_id))
 
 
 def append_partitioned(
@@ -58,7 +64,7 @@ def append_partitioned(
     """
     mode = "append" if batch_id is None else "overwrite"
     gathered = df.hint("rebalance", *by)
-    gathered.write.mode(mode).partitionBy(*by).parquet(_batch_folder(path, batch_id))
+    gathered.write.mode(mode).partitionBy(*by).parquet(batch_folder(path, batch_id))
 
 
 def archive(messages: DataFrame, path: str, batch_name: str, value: str = "value") -> None:

@@ -45,18 +45,22 @@ def payloads(
     service: Column | str = "",
     bucket: Column | None = None,
     envelope: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Request bodies of at most `size` rows each.
 
     Rows are spread over buckets by the hash of `key`, which has to identify a row, and
     numbered in key order inside each bucket; a body never holds more than one bucket.
-    `bucket` replaces the hash. `envelope` puts the array into ``{"inputJson": [...]}``.
+    `bucket` replaces the hash. `buckets` is their number; without it the rows are counted
+    first. `envelope` puts the array into ``{"inputJson": [...]}``.
     """
     text = F.to_json(F.struct(*df.columns)) if body is None else body
     name = F.lit(service) if isinstance(service, str) else service
-    spread = F.pmod(F.xxhash64(*key), bucket_count(df, size)) if bucket is None else bucket
+    if bucket is None:
+        number = bucket_count(df, size) if buckets is None else F.lit(buckets).cast("bigint")
+        bucket = F.pmod(F.xxhash64(*key), number)
     rows = df.select(
-        name.alias("service"), spread.alias("bucket"), *key, text.alias("body")
+        name.alias("service"), bucket.alias("bucket"), *key, text.alias("body")
     )
     inside = W.partitionBy("service", "bucket").orderBy(*key)
     numbered = rows.withColumn("row_no", F.row_number().over(inside)).withColumn(
@@ -84,3 +88,16 @@ def table_payloads(
         part = payloads(df, keys[table], size, service=SERVICES[table], envelope=True)
         union = part if union is None else union.unionByName(part)
     return union
+
+
+def text_payloads(
+    df: DataFrame,
+    size: int,
+    body: Column,
+    service: Column | str = "",
+    envelope: bool = False,
+    buckets: int | None = None,
+) -> DataFrame:
+    """Payloads of rows without a key: their texts tell them apart, equal texts are all kept."""
+    texts = df.select(body.alias("row_text"))
+    return payloads(texts, ["row_text"], size, F.col("row_text"), service, None, envelope, buckets)
