@@ -945,6 +945,83 @@ def stream_ingest(spark, d):
     return report.row_counts(counted)
 
 
+#: Message texts of the columns of each type; strings hold the order number.
+MESSAGE_TEXTS = {
+    "int": "17",
+    "bigint": "5000000000",
+    "boolean": "true",
+    "decimal(5,2)": "12.50",
+    "decimal(10,5)": "7.25",
+}
+MESSAGE_TIME = "2024-01-05 06:07:08"
+
+
+def _full_message() -> Column:
+    """A message with a block for each raw table, which fills all its columns."""
+    key = F.col("o_orderkey").cast("string")
+    parts = [F.lit('<ArrayOfLiveTextData filename="f">')]
+    for spec in SPECS.values():
+        route = spec.route if spec.route.startswith("-") else f"-{spec.route}"
+        names = ",".join(spec.source.get(c, c) for c in spec.columns)
+        kinds = ",".join("String" for _ in spec.columns)
+        parts.append(
+            F.lit(
+                f"<LiveTextData><TagName>c1-smt-m{route}</TagName><Status>Good</Status><TagId>1</TagId>"
+                f'<TimeStamp>t</TimeStamp><TagValue fieldnames="{names}" fieldtypes="{kinds}" '
+                'separator=",">'
+            )
+        )
+        moment = F.date_format(F.lit(MESSAGE_TIME).cast("timestamp"), spec.time_format)
+        values = [
+            key
+            if spec.kind(c) == "string"
+            else moment if spec.kind(c) == "timestamp" else F.lit(MESSAGE_TEXTS[spec.kind(c)])
+            for c in spec.columns
+        ]
+        parts += [F.concat_ws(",", *values), F.lit("</TagValue></LiveTextData>")]
+    return F.concat(*parts, F.lit("</ArrayOfLiveTextData>"))
+
+
+def _full_ingest(spark, d, **options) -> str:
+    root = fresh_path(spark, "full")
+    table(spark, d, "orders").select(_full_message().alias("value")).write.parquet(f"{root}/in")
+    inlet = spark.readStream.schema("value string").parquet(f"{root}/in")
+    ingest(
+        inlet, f"{root}/out", f"{root}/checkpoint", "xml_in", "line", **options
+    ).awaitTermination()
+    return f"{root}/out"
+
+
+@query
+def xml_landed_all(spark, d):
+    """Landed rows of all raw tables, their columns as one text."""
+    out, union = _full_ingest(spark, d), None
+    for name, spec in SPECS.items():
+        rows = spark.read.schema(spec.schema).parquet(f"{out}/tables/{name}")
+        texts = rows.select(
+            F.lit(name).alias("table_name"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in spec.columns]).alias("row_text"),
+        )
+        union = texts if union is None else union.unionByName(texts)
+    return union
+
+
+@query
+def stream_push(spark, d):
+    """Landed rows of the nine tables with a service, read from the text of their request bodies."""
+    bodies = spark.read.parquet(f"{_full_ingest(spark, d, push=50, buckets=16)}/payloads")
+    each = F.explode(F.from_json(F.get_json_object("payload", "$.inputJson"), "array<map<string,string>>"))
+    rows = bodies.select("service", (F.col("row_count") <= 50).alias("bounded"), each.alias("m"))
+    union = None
+    for name, service in payloads.SERVICES.items():
+        columns = F.concat_ws("|", *[F.col("m").getItem(c) for c in SPECS[name].columns])
+        part = rows.filter(F.col("service") == service).select(
+            "service", "bounded", columns.alias("row_text")
+        )
+        union = part if union is None else union.unionByName(part)
+    return union
+
+
 @query
 def stream_enriched(spark, d):
     """Master data and then timer events in one stream of records."""

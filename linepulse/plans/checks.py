@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from linepulse.plans.views import with_views
 from linepulse.registry import ROUTES, TABLES
+from linepulse.sinks.payloads import SERVICES
 
 CHECKS: dict[str, str] = {}
 
@@ -726,6 +727,35 @@ def _stream_limits() -> str:
     LEFT JOIN volume USING (machine_id, pcb_side)"""
 
 
+def _full_rows(name: str, spec, texts: dict[str, str]) -> str:
+    """One landed row of a table for each order, as text."""
+    values = [
+        "CAST(o_orderkey AS VARCHAR)" if spec.kind(c) == "string" else f"'{texts[spec.kind(c)]}'"
+        for c in spec.columns
+    ]
+    return f"SELECT '{name}' AS name, concat_ws('|', {', '.join(values)}) AS row_text FROM orders"
+
+
+_TEXTS = {
+    "int": "17",
+    "bigint": "5000000000",
+    "boolean": "true",
+    "decimal(5,2)": "12.50",
+    "decimal(10,5)": "7.25000",
+    "timestamp": "2024-01-05 06:07:08",
+}
+CHECKS["xml_landed_all"] = f"""
+    SELECT name AS table_name, row_text
+    FROM ({' UNION ALL '.join(_full_rows(t.name, t, _TEXTS) for t in TABLES)})"""
+_JSON_TEXTS = _TEXTS | {  # as read back, numbers are without trailing zeros
+    "decimal(5,2)": "12.5",
+    "decimal(10,5)": "7.25",
+    "timestamp": "2024-01-05T06:07:08.000Z",
+}
+_PUSHED = " UNION ALL ".join(
+    _full_rows(f"{t.name}_service", t, _JSON_TEXTS) for t in TABLES if t.name in SERVICES
+)
+CHECKS["stream_push"] = f"SELECT name AS service, true AS bounded, row_text FROM ({_PUSHED})"
 _check("stream_kpi_limits", _stream_limits(), "header")
 _STREAM_WIDE = f"""
     SELECT * REPLACE (CASE WHEN table_name = 'timers' AND length(product_id) % 3 = 0
