@@ -724,6 +724,20 @@ def payload_tables(spark, d):
     return bodies.groupBy("service").agg(F.sum("row_count").alias("row_count"))
 
 
+@query
+def payload_cost(spark, d):
+    """The cost table, read from the text of its request bodies."""
+    cost = tables.material_cost(view(spark, d, "material_cost_raw"))
+    bodies = payloads.payloads(
+        cost, ["material", "plant"], 100, service=payloads.COST_SERVICE, envelope=True, buckets=8
+    )
+    rows = F.from_json(
+        F.get_json_object("payload", "$.inputJson"),
+        "array<struct<material: string, plant: string, unit_cost: double>>",
+    )
+    return bodies.select("service", F.explode(rows).alias("r")).select("service", "r.*")
+
+
 @query
 def payload_nozzle_v1(spark, d):
     """All events, also equal ones; the times in the payloads' text are read back."""
@@ -749,6 +763,22 @@ def partitioned_append(spark, d):
     )
 
 
+@query
+def catalog_append(spark, d):
+    """Rows appended by name to a catalog table; each run finds its own by the batch name."""
+    path = fresh_path(spark, "catalog")
+    tables.create_tables(spark, "q_", path)
+    name = path.rsplit("/", 1)[-1]
+    messages = table(spark, d, "orders").select(_spi_message().alias("value"))
+    parsed = envelope.records(envelope.parse(messages, "xml_in", name))
+    rows = landing.land(routing.with_tag(parsed, "spiTest-header"), "ea_spi_header")
+    files.append_table(rows.select(*reversed(rows.columns)), "q_elec_assy.ea_spi_header")
+    stored = tables.catalog_table(spark, "ea_spi_header", "q_")
+    return stored.filter(F.col("hdfs_file_name") == name).select(
+        "generated_key", "machine_id", "pcb_result", "inspection_end_dttm"
+    )
+
+
 @query
 def table_append(spark, d):
     """A landed table in parquet, appended twice by name and read with its schema."""

@@ -756,6 +756,16 @@ _PUSHED = " UNION ALL ".join(
     _full_rows(f"{t.name}_service", t, _JSON_TEXTS) for t in TABLES if t.name in SERVICES
 )
 CHECKS["stream_push"] = f"SELECT name AS service, true AS bounded, row_text FROM ({_PUSHED})"
+_check(
+    "payload_cost",
+    f"""SELECT 'materialcost_service' AS service, material, plant,
+               CAST(unit_cost AS DOUBLE) AS unit_cost FROM ({_COST})""",
+    "material_cost_raw",
+)
+CHECKS["catalog_append"] = """
+    SELECT CAST(o_orderkey AS VARCHAR) AS generated_key, 'M1' AS machine_id,
+           o_orderpriority AS pcb_result, CAST(o_orderdate AS TIMESTAMP) AS inspection_end_dttm
+    FROM orders"""
 _check("stream_kpi_limits", _stream_limits(), "header")
 _STREAM_WIDE = f"""
     SELECT * REPLACE (CASE WHEN table_name = 'timers' AND length(product_id) % 3 = 0
