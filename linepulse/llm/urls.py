@@ -1,10 +1,11 @@
 """URL filter: a tree of path templates for each host, judged by the labels of its pages.
 
 Segments of a known variable form (numbers, long hexadecimal, dates) become a wildcard at once.
-Then the tree is walked from the root: where a node has many children of which one is rare, that
-child is variable and becomes the wildcard. Afterwards, from the leaves to the root, branches
-that differ in one segment are merged if their labels don't tell them apart (a test of proportions
-against the merged branch). A template whose smoothed share of good labels is low is rejected.
+Then the tree is walked from the root: where a node has many children, the rare ones are variable
+and become the wildcard, but for those whose labels tell them apart from what they would join.
+Afterwards, from the leaves to the root, branches that differ in one segment are merged if their
+labels don't tell them apart. Both are a test of proportions against the merged branch. A template
+whose smoothed share of good labels is low is rejected.
 
 The steps run on one row for each host and form of path. Counts are aggregates joined back by
 host and branch, so that a host with a third of all pages isn't gathered in one place.
@@ -59,10 +60,26 @@ def _form(path: Column, depth: int) -> Column:
     ).otherwise(known)
 
 
+def _far(z: float) -> Column:
+    """Is a branch (_good, _bad) told apart by its labels from the merged one (_g, _b)?"""
+    share = F.try_divide(F.col("_g"), F.col("_g") + F.col("_b"))
+    seen = F.col("_good") + F.col("_bad")
+    far = F.abs(F.col("_good") - seen * share) > z * F.sqrt(seen * share * (1 - share))
+    return F.coalesce(far & (seen > 0), F.lit(False))
+
+
 def templates(
-    paths: DataFrame, most_children: int = 20, rare: float = 0.02, z: float = 2.0, depth: int = 8
+    paths: DataFrame,
+    most_children: int = 20,
+    rare: float = 0.02,
+    z: float = 2.0,
+    depth: int = 8,
+    least_labels: int = 5,
 ) -> DataFrame:
-    """Adds `template` to rows of host, form (segments), n, good and bad."""
+    """Adds `template` to rows of host, form (segments), n, good and bad.
+
+    Rare children with fewer than `least_labels` labels are too few for the test of proportions.
+    """
     rows = materialize(paths.withColumn("template", F.col("form")), "forms")
     levels = rows.agg(F.max(F.size("form"))).first()[0] or 0
     for k in range(1, levels + 1):
@@ -70,14 +87,22 @@ def templates(
             "_own", F.get("template", F.lit(k - 1))
         )
         children = rows.where("_own is not null").groupBy("host", "_at", "_own").agg(
-            F.sum("n").alias("_n")
+            F.sum("n").alias("_n"), F.sum("good").alias("_good"), F.sum("bad").alias("_bad")
         )
         nodes = children.groupBy("host", "_at").agg(
             F.sum("_n").alias("_all"), F.count("*").alias("_children")
         )
+        wild = F.col("_own") == "*"  # what becomes the wildcard joins it
+        joining = children.join(nodes, ["host", "_at"]).where(
+            (F.col("_children") > most_children) & (wild | (F.col("_n") < rare * F.col("_all")))
+        )
+        pooled = joining.groupBy("host", "_at").agg(
+            F.sum("_good").alias("_g"), F.sum("_bad").alias("_b")
+        )
+        own_branch = _far(z) & (F.col("_good") + F.col("_bad") >= least_labels)
         rare_ones = (
-            children.join(nodes, ["host", "_at"])
-            .where((F.col("_children") > most_children) & (F.col("_n") < rare * F.col("_all")))
+            joining.join(pooled, ["host", "_at"])
+            .where(wild | ~own_branch)
             .select("host", "_at", "_own", F.lit(True).alias("_rare"))
         )
         rows = rows.join(rare_ones, ["host", "_at", "_own"], "left").withColumn(
@@ -94,12 +119,9 @@ def templates(
         pooled = branch.groupBy("host", "_merged").agg(
             F.sum("_good").alias("_g"), F.sum("_bad").alias("_b")
         )
-        share = F.col("_g") / (F.col("_g") + F.col("_b"))
-        seen = F.col("_good") + F.col("_bad")
-        far = F.abs(F.col("_good") - seen * share) > z * F.sqrt(seen * share * (1 - share))
         apart = (
             branch.join(pooled, ["host", "_merged"])
-            .where(far & (seen > 0))
+            .where(_far(z))
             .select("host", "_merged", "template", F.lit(True).alias("_apart"))
         )
         rows = rows.join(apart, ["host", "_merged", "template"], "left").withColumn(

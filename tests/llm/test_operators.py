@@ -481,6 +481,18 @@ def test_urls(spark):
     assert {r["verdict"] for r in urls.judge(pages, taught.where("false"), rules).where("rule is null").collect()} == {"allow"}
 
 
+def test_urls_keeps_rare_sections_that_labels_tell_apart(spark):
+    """Sixty equal sections are all rare; those with bad pages only are rejected all the same."""
+    urls_ = [(f"http://h.org/{chr(97 + s // 26)}{chr(97 + s % 26)}/{k}", s % 3 > 0) for s in range(60) for k in range(20)]
+    urls_ += [(f"http://i.org/user{chr(97 + k // 26)}{chr(97 + k % 26)}x/{k}", k % 10 > 0) for k in range(400)]
+    taught = spark.createDataFrame(urls_, "url string, good boolean")
+    pages = taught.select(F.monotonically_increasing_id().alias("page_id"), "url", "good")
+    rows = urls.judge(pages, taught, []).join(pages, "page_id").collect()
+    assert len(rows) == len(urls_)
+    assert all((r["verdict"] == "allow") == r["good"] for r in rows if r["host"] == "h.org")
+    assert len({r["template"] for r in rows if r["host"] == "i.org"}) == 1  # too few labels each
+
+
 def test_digest_columns_of_queries(spark, tmp_path):
     """The registered queries give the contract's columns on the smallest given tables."""
     from linepulse.llm.queries import QUERIES
