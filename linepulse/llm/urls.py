@@ -8,10 +8,11 @@ labels don't tell them apart. Both are a test of proportions against the merged
 whose smoothed share of good labels is low is rejected.
 
 The steps run on one row for each host and form of path. Counts are aggregates joined back by
-host and branch, so that a host with a third of all pages isn't gathered in one place.
+host and branch, so that a host with a third of all pages isn't gathered in one place. Paths have
+any number of segments; a level is worked on only where it can change something.
 
-Null urls and urls without "://" have an empty host and path. Segments beyond `depth` are one
-wildcard together. Repeated rows are judged alike. Without labels the share is the prior.
+Null urls and urls without "://" have an empty host and path. Repeated rows are judged alike.
+Without labels the share is the prior.
 """
 
 from __future__ import annotations
@@ -46,18 +47,15 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return text, verdict
 
 
-def _form(path: Column, depth: int) -> Column:
+def _form(path: Column) -> Column:
     """Segments of a path, with a wildcard for those of a variable form."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    known = F.transform(
+    return F.transform(
         parts,
         lambda s: F.regexp_replace(
             F.regexp_replace(s, r"[0-9a-fA-F]{12,}|[0-9a-fA-F-]{32,}", "*"), r"[0-9]+", "*"
         ),
     )
-    return F.when(
-        F.size(known) > depth, F.concat(F.slice(known, 1, depth), F.array(F.lit("**")))
-    ).otherwise(known)
 
 
 def _far(z: float) -> Column:
@@ -73,7 +71,6 @@ def templates(
     most_children: int = 20,
     rare: float = 0.02,
     z: float = 2.0,
-    depth: int = 8,
     least_labels: int = 5,
 ) -> DataFrame:
     """Adds `template` to rows of host, form (segments), n, good and bad.
@@ -81,12 +78,15 @@ def templates(
     Rare children with fewer than `least_labels` labels are too few for the test of proportions.
     """
     rows = materialize(paths.withColumn("template", F.col("form")), "forms")
-    levels = rows.agg(F.max(F.size("form"))).first()[0] or 0
-    for k in range(1, levels + 1):
+    # a node has no more children than its host has different segments at that level
+    segments = rows.select("host", F.posexplode("form")).groupBy("host", "pos", "col").count()
+    wide = segments.groupBy("host", "pos").count().where(F.col("count") > most_children)
+    for k in _levels(wide):
+        rest, rows = rows.where(F.size("form") < k), rows.where(F.size("form") >= k)
         rows = rows.withColumn("_at", F.array_join(F.slice("template", 1, k - 1), "/")).withColumn(
             "_own", F.get("template", F.lit(k - 1))
         )
-        children = rows.where("_own is not null").groupBy("host", "_at", "_own").agg(
+        children = rows.groupBy("host", "_at", "_own").agg(
             F.sum("n").alias("_n"), F.sum("good").alias("_good"), F.sum("bad").alias("_bad")
         )
         nodes = children.groupBy("host", "_at").agg(
@@ -108,11 +108,30 @@ def templates(
         rows = rows.join(rare_ones, ["host", "_at", "_own"], "left").withColumn(
             "template", F.when(F.col("_rare"), _starred(k)).otherwise(F.col("template"))
         )
-        rows = materialize(rows.drop("_at", "_own", "_rare"), "forms")
-    for k in range(levels, 0, -1):
-        rows = rows.withColumn(
-            "_merged", F.when(F.size("template") >= k, _starred(k)).otherwise(F.col("template"))
-        )
+        rows = materialize(rows.drop("_at", "_own", "_rare").unionByName(rest), "forms")
+    # only templates of one length merge; where all have the same segment, each merges with itself
+    length = F.size("template").alias("_size")
+    varied = (
+        rows.select("host", length, F.posexplode("template"))
+        .groupBy("host", "_size", "pos")
+        .agg(F.min("col").alias("_least"), F.max("col").alias("_most"))
+        .where("_least < _most")
+    )
+    varied = materialize(varied.select("host", "_size", "pos"), "varied")
+    places = varied.groupBy("host", "_size").agg(F.collect_set("pos").alias("_varied"))
+    rows = rows.withColumn("_size", length).join(places, ["host", "_size"], "left").withColumn(
+        "template",
+        F.when(F.col("_varied").isNull(), F.transform("template", lambda s: F.lit("*"))).otherwise(
+            F.transform(
+                "template",
+                lambda s, i: F.when(F.array_contains("_varied", i), s).otherwise("*"),
+            )
+        ),
+    )
+    rows = materialize(rows.drop("_size", "_varied"), "forms")
+    for k in reversed(_levels(varied)):
+        rest, rows = rows.where(F.size("form") < k), rows.where(F.size("form") >= k)
+        rows = rows.withColumn("_merged", _starred(k))
         branch = rows.groupBy("host", "_merged", "template").agg(
             F.sum("good").alias("_good"), F.sum("bad").alias("_bad")
         )
@@ -128,10 +147,15 @@ def templates(
             "template",
             F.when(F.col("_apart"), F.col("template")).otherwise(F.col("_merged")),
         )
-        rows = materialize(rows.drop("_merged", "_apart"), "forms")
+        rows = materialize(rows.drop("_merged", "_apart").unionByName(rest), "forms")
     return rows
 
 
+def _levels(places: DataFrame) -> list[int]:
+    """The different levels (from 1) of rows with a segment's place."""
+    return sorted(r[0] + 1 for r in places.select("pos").distinct().collect())
+
+
 def _starred(k: int) -> Column:
     """The template with a wildcard as segment k."""
     t = F.col("template")
@@ -144,7 +168,6 @@ def judge(
     rules: list[tuple[str, str]],
     least_purity: float = 0.5,
     strength: float = 10.0,
-    depth: int = 8,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, template and purity of every page.
 
@@ -155,7 +178,7 @@ def judge(
         df = df.withColumn("_url", F.col("url").cast("string"))
         host, path = split_url("_url")
         df = df.select(*columns, host.alias("host"), path.alias("path"))
-        return df.withColumn("form", _form(F.col("path"), depth))
+        return df.withColumn("form", _form(F.col("path")))
 
     own = parsed(pages.withColumn("page_id", F.col("page_id").cast("bigint")), "page_id")
     taught = parsed(labelled.where("good is not null"), "good")
@@ -173,7 +196,7 @@ def judge(
         .groupBy("host", "form")
         .agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")])
     )
-    rows = templates(counts, depth=depth)
+    rows = templates(counts)
     good, bad = rows.agg(F.sum("good"), F.sum("bad")).first()
     prior = ((good or 0) + 1) / ((good or 0) + (bad or 0) + 2)
     sums = rows.groupBy("host", "template").agg(F.sum("good").alias("g"), F.sum("bad").alias("b"))

@@ -493,6 +493,18 @@ def test_urls_keeps_rare_sections_that_labels_tell_apart(spark):
     assert len({r["template"] for r in rows if r["host"] == "i.org"}) == 1  # too few labels each
 
 
+def test_urls_judges_branches_of_deep_paths(spark):
+    """Branches that first differ in the twelfth segment have verdicts of their own."""
+    deep = "/".join("abcdefghijk")
+    urls_ = [(f"http://h.org/{deep}/{s}/{k}", s == "good") for s in ("good", "bad") for k in range(40)]
+    taught = spark.createDataFrame(urls_, "url string, good boolean")
+    pages = taught.select(F.monotonically_increasing_id().alias("page_id"), "url", "good")
+    rows = urls.judge(pages, taught, []).join(pages, "page_id").collect()
+    assert len(rows) == len(urls_)
+    assert all((r["verdict"] == "allow") == r["good"] for r in rows)
+    assert {len(r["template"].split("/")) for r in rows} == {13}
+
+
 def test_digest_columns_of_queries(spark, tmp_path):
     """The registered queries give the contract's columns on the smallest given tables."""
     from linepulse.llm.queries import QUERIES
