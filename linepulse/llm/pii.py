@@ -2,13 +2,15 @@
 estimated by expectation-maximisation, and a span classifier trained on the outcome decides.
 
 Candidates are the matches of strict patterns (email, ip, card, phone) and of looser ones (masked
-emails, local phone numbers, secrets after a key word, names after a title). Four labelers vote
-for, against or not at all: the pattern with its checks, a gazetteer of words in the span, the
+emails, local phone numbers, secrets after a key word, names after a title), of the gazetteer (first
+names and what follows them) and of contexts (names and numbers after "name:", "phone" and the like).
+Four labelers vote for, against or not at all: the pattern with its checks, a gazetteer of words in the span, the
 context of words before it, and the characters around it. Equal votes and features are counted,
 so what goes to the driver is a table of their combinations (at most a few thousand), whatever
 the input; the classifier is a logistic regression on the features alone. Strict matches that
 pass their checks always stay, those that fail serve as examples and are dropped; looser ones are
-added where the classifier says so and no strict match overlaps.
+added where the classifier says so, also beside a strict match that they overlap, unless one of
+their own kind holds them whole.
 
 All of it is built-in functions. A span is kind, start and end in code points, end exclusive.
 Null text is empty and has no spans. Repeated rows are judged alike; an empty table gives no rows.
@@ -32,22 +34,36 @@ EMAIL = (
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9]){11,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+_KEY = r"(?i)(?:password|passwd|pwd|token|secret|api[_\x20-]?key)[\"']?[\x20\t]*+[=:]"
+_TITLE = r"(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Sr|Sra)\.? "
+_FIRST = r"(?<![\p{L}\p{N}_])(?:John|Mary|Anna|Maria|Peter|Hans|Jean|Jos[eé])(?![\p{L}\p{M}\p{N}_])"
+_NAME = r"\p{Lu}(?:[\p{L}\p{M}]|['’-](?=\p{L})){1,30}+"
+_NAMED = r"(?<=(?<![\p{L}\p{N}])(?i:name|contact|user|login)\x20?[=:]\x20?[\"']?)"
+_CALLED = (
+    r"(?<=(?<![\p{L}\p{N}])(?i:phone|tel|call|fax|mobile|contact)[^\p{L}\p{N}+(]{0,4}"
+    r"(?i:is|number|nr)?[^\p{L}\p{N}+(]{0,3})"
+)
 LOOSE = {
     "email": (
         r"[A-Za-z0-9._%+-]{1,64}+ ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}+ ?[\[(] ?dot ?[\])] ?[A-Za-z]{2,24}+",
         r"at ?[\])]",
     ),
     "phone": (
-        r"(?<![0-9A-Za-z+.(-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z-])",
-        r"[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}",
+        r"(?<![0-9A-Za-z+.(-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z-])"
+        rf"|(?=[0-9(]){_CALLED}\(?[0-9](?:[\x20()./-]{{0,2}}+[0-9]){{5,14}}+(?![0-9A-Za-z-])",
+        r"[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}"
+        r"|(?i:phone|tel|call|fax|mobile|contact)[^\p{L}\p{N}+(]{0,4}(?i:is|number|nr)?[^\p{L}\p{N}+]{0,4}[0-9]",
     ),
     "secret": (
-        r"(?:password|passwd|pwd|token|secret|api_key|apikey)\x20?[=:]\x20?\"?[A-Za-z0-9_+/-]{8,}+\"?",
-        r"(?:word|wd|token|secret|key)\x20?[=:]",
+        _KEY
+        + r"[\x20\t]*+(?:\"[^\"\n]{8,}+\"|'[^'\n]{8,}+'"
+        r"|[\"']?(?:[^\s\"'<>,;.!?:)\]}]|[.!?:)\]}](?=[^\s\"'<>,;])){8,}+[\"']?)",
+        _KEY,
     ),
     "person": (
-        r"(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Sr|Sra)\.? [A-Z][a-z]{1,30}+(?: [A-Z][a-z]{1,30}+)?",
-        r"(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Sr|Sra)\.? [A-Z]",
+        rf"{_TITLE}{_NAME}(?: {_NAME})?|{_FIRST}(?: {_NAME})?"
+        rf"|(?=\p{{Lu}}){_NAMED}{_NAME}(?: {_NAME})?",
+        rf"{_TITLE}\p{{Lu}}|{_FIRST}|(?i:name|contact|user|login)\x20?[=:]\x20?[\"']?\p{{Lu}}",
     ),
 }
 #: Words of the gazetteer and of contexts.
@@ -190,7 +206,9 @@ FEATURES = [len(KINDS), 3, 2, 2, 2, 4, 4]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """Adds `_spans`: all candidates that no base span overlaps, and the base spans."""
+    """Adds `_spans`: the base spans, strict matches that none of these overlaps and looser ones that
+    none of their kind holds.
+    """
     text = F.col("_text")
     groups = [_spans(text, k, p, w(text), c) for k, (p, w, c) in STRICT.items()]
     groups += [_spans(text, k, p, text.rlike(w), None) for k, (p, w) in LOOSE.items()]
@@ -198,7 +216,14 @@ def candidates(docs: DataFrame) -> DataFrame:
 
     def fits(span: Column) -> Column:
         return span["strict"] & span["passed"] | ~F.exists(
-            "_base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"])
+            "_base",
+            lambda b: F.when(
+                span["strict"], (b["start"] < span["end"]) & (span["start"] < b["end"])
+            ).otherwise(
+                (b["rank"] == span["rank"])
+                & (b["start"] <= span["start"])
+                & (span["end"] <= b["end"])
+            ),
         )
 
     found = found.withColumn(

@@ -225,6 +225,24 @@ def test_base_spans(spark, docs, none, texts):
     assert pii.spans(none).count() == 0
 
 
+def test_looser_spans_of_other_forms(spark):
+    """(text, kind, what is to be found in it)"""
+    cases = [
+        ('TOKEN = "9233A8ECF7C5B0"', "secret", None), ("API_KEY=9233A8ECF7C5B0", "secret", None), ("Password: hunter2hunter2", "secret", None),
+        ('{"password": "s3cr3t!s3cr3t"}', "secret", 'password": "s3cr3t!s3cr3t"'), ("Herr Jürgen Groß kam", "person", "Herr Jürgen Groß"),
+        ("Mme Hélène", "person", None), ("la Sra. Núñez", "person", "Sra. Núñez"), ("Frau Schröder", "person", None), ("Herr Özil", "person", None),
+        ("then Maria Gómez left", "person", "Maria Gómez"), ("name: Łukasz Żak", "person", "Łukasz Żak"), ("call 0171 2345678 now", "phone", "0171 2345678"),
+        ("password=a.b@example.org", "secret", None), ("password=a.b@example.org", "email", "a.b@example.org"),
+    ]
+    df = spark.createDataFrame([(k, c[0]) for k, c in enumerate(cases)], "doc_id long, text string")
+    rows = by_id(pii.candidates(df).select("doc_id", pii.listed(F.col("_spans")).alias("s")))
+    for k, (text, kind, part) in enumerate(cases):
+        start = text.index(part) if part else 0
+        assert f"{kind}:{start}:{start + len(part or text)}" in rows[k]["s"].split(","), (text, rows[k]["s"])
+    few = df.where(F.col("doc_id").isin(0, 1, 6, 7)).crossJoin(spark.range(50).select())
+    assert pii.spans(few).where(F.size("_spans") == 0).count() == 0
+
+
 def test_masking(spark):
     df = spark.createDataFrame([(1, "x 😀 a@b.co, +1 555 010 9999!"), (2, None), (3, "plain")], "doc_id long, text string")
     found = pii.spans(df)
