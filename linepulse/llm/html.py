@@ -5,6 +5,9 @@ the kind of boilerplate around them), tags score negative by their name. What st
 boilerplate is left out anyway, so it hardly keeps apart what is around it. The weights are log odds
 of being inside the article, counted over all pages that mark theirs with <article> or <main>.
 A linear scan finds the contiguous run of the greatest sum; boilerplate nested in it is left out.
+What holds the page's longest <article> (else <main>) is no boilerplate, whatever its name or class,
+nor is what only its class, id or role marks if it holds most of the words of that element (else of
+the page). A quote that doesn't close in its tag doesn't keep the tag from ending.
 
 Null html is an empty page with an empty text. Very long pages are scanned whole, in time that
 grows in line with their length. Repeated rows give repeated rows; an empty table gives none.
@@ -23,8 +26,8 @@ from pyspark.sql import functions as F
 from linepulse.llm.common import map_batches
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++"
+    r"|=\s*+(?:\"[^\">]*+\"|'[^'>]*+'|\"[^\"]*+\"(?=[\s/>])|'[^']*+'(?=[\s/>]))|=)*+)>?",
     re.S,
 )
 #: Elements by their part in a page.
@@ -57,21 +60,55 @@ def _mark(attributes: str) -> str | None:
     return None
 
 
-def tokens(page: str):
+def tokens(page: str) -> list[tuple]:
     """(kind, name, text, inside, out): kind "tag" or "text"; name the feature that is weighed;
     inside: below <article> or <main>; out: below boilerplate.
     """
-    stack: list[tuple[str, str | None]] = []
-    held, at, size = Counter(), 0, len(page)
+    elements: list[list] = []
+    found = list(_scan(page, frozenset(), elements))
+    kept = _kept(elements)
+    return list(_scan(page, kept, [])) if kept else found
+
+
+def _kept(elements: list[list]) -> frozenset[int]:
+    """Places of the elements that are no boilerplate, though their name or marks say so.
 
-    def push(name: str, out: str | None) -> None:
-        stack.append((name, out))
+    elements: name, boilerplate, first and last place, words before and up to the end; the first
+    one is the page.
+    """
+    named = next(filter(None, ([e for e in elements if e[0] == n] for n in ("article", "main"))), [])
+    first = max(named, key=lambda e: e[5] - e[4]) if named else None
+    _, _, _, _, before, until = first or elements[0]
+    kept = set()
+    for _, out, start, end, w, upto in elements:
+        holds = first is not None and start < first[2] < end
+        most = 2 * (min(upto, until) - max(w, before)) > until - before
+        if out and (holds or out[0] == "." and most):
+            kept.add(start)
+    return frozenset(kept)
+
+
+def _scan(page: str, kept: frozenset[int], elements: list[list]):
+    """The tokens; adds the elements that `_kept` looks at."""
+    stack: list[tuple[str, str | None, list | None]] = []
+    held, at, size = Counter(), 0, len(page)
+    words = 0
+    whole = ["", None, -1, size, 0, 0]
+    elements.append(whole)
+
+    def push(name: str, out: str | None, start: int) -> None:
+        own = [name, out, start, size, words, None] if out or name in ("article", "main") else None
+        if own:
+            elements.append(own)
+        stack.append((name, out, own))
         held[name] += 1
         if out:
             held["out!"] += 1
 
     def pop() -> str:
-        name, out = stack.pop()
+        name, out, own = stack.pop()
+        if own:
+            own[3], own[5] = found.start(), words
         held[name] -= 1
         if out:
             held["out!"] -= 1
@@ -80,8 +117,8 @@ def tokens(page: str):
     def place() -> tuple[str, bool, bool]:
         inside = bool(held["article"] or held["main"])
         if held["out!"]:
-            return next(o for _, o in reversed(stack) if o), inside, True
-        return next((n for n, _ in reversed(stack) if n in BLOCK), "none"), inside, False
+            return next(o for _, o, _ in reversed(stack) if o), inside, True
+        return next((n for n, _, _ in reversed(stack) if n in BLOCK), "none"), inside, False
 
     while at < size:
         found = _TOKEN.search(page, at)
@@ -90,14 +127,15 @@ def tokens(page: str):
         else:
             found_at, after = found.span()
         if found_at > at:
+            words += len(page[at:found_at].split())
             yield "text", *_words(place(), page[at:found_at])
         if not found:
-            return
-        at = after
-        name = (found[2] or found[5] or "").lower()
+            break
+        start, at = found_at, after
+        name = (found[2] or "").lower()
         if not name:
             continue
-        closing, attributes = found[1] or found[4], found[3] or found[6] or ""
+        closing, attributes = found[1], found[3] or ""
         if closing:
             _, inside, out = place()
             if held[name] > 0:
@@ -115,13 +153,18 @@ def tokens(page: str):
         if not out and name not in ("html", "body", "article", "main"):
             mark = _mark(attributes)
             out = f".{mark}" if mark else None
+        if start in kept:
+            out = None
         _, inside, under = place()
         yield "tag", _known(name), name, inside, under or bool(out)
-        if name in RAW:
+        if name in RAW and not (name == "svg" and attributes.endswith("/")):
             end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else size
+            if end or name != "svg":  # an svg without an end ends before what is no part of it
+                at = end.end() if end else size
         elif name not in VOID and not attributes.endswith("/"):
-            push(name, out)
+            push(name, out, start)
+    for e in [whole, *(own for _, _, own in stack if own)]:
+        e[5] = words
 
 
 def _words(where, text):

@@ -352,6 +352,25 @@ def test_main_text(spark):
     assert html.main_text(df.where("false")).count() == 0
 
 
+def test_pages_are_not_emptied_by_marks_svg_or_quotes():
+    """Words of a class around the article, self-closing svg and stray quotes lose no text."""
+    body = "<p>" + "plain words of the article " * 20 + "</p>"
+    want = " ".join(["plain words of the article"] * 20)
+    art, nav = f"<article>{body}</article>", "<nav><a href='/'>home</a></nav>"
+    for c in ("has-sidebar", "layout sidebar-right", "site search-page", "post-share-enabled"):
+        assert html.extract(f'<body>{nav}<div id="page" class="{c}">{art}</div></body>', {}) == want
+        assert html.extract(f'<body>{nav}<article><div class="{c}">{body}</div></article></body>', {}) == want
+        assert html.extract(f'<body>{nav}<div class="{c}">{body}</div></body>', {}) == want
+    assert html.extract(f"<body><form>{art}</form></body>", {}) == want
+    assert html.extract(f'<body><svg class="x" />{art}</body>', {}) == want
+    assert html.extract(f'<body><svg><path d="1">{art}</body>', {}) == want
+    assert html.extract(f'<body><a href="x"">go</a>{art}<p class="y">z</p></body>', {}).startswith("go")
+    assert want in html.extract(f'<body><a href="x"">go</a>{art}<p class="y">z</p></body>', {})
+    assert want in html.extract(f'<body><a href="x>go</a>{art}<p class="y">z</p></body>', {})
+    assert html.extract(f'<body>{art}<div class="comments"><p>{"so good " * 9}</p></div></body>', {}) == want
+    assert html.extract('<p title="a > b">one</p>', {}) == "one"
+
+
 # --- 7 ------------------------------------------------------------------------------
 
 
