@@ -6,8 +6,10 @@ over all documents. A document's occurrences of prefix words are the only candid
 must leave room before and after it (positional and length bounds), and is verified by comparing
 the words of the whole window.
 
-The items are joined in blocks of at most `block_bytes` of text, so what is broadcast has that
-bound; further blocks are further passes over the documents, and nothing of them is shuffled.
+The items are joined in blocks of about `block_bytes` of text, so what is broadcast has that bound;
+further blocks are further passes over the documents, and nothing of them is shuffled. A long item
+is first split into parts of about a twentieth of that (`2 * window` words at least) that share
+window - 1 words, so no window is lost or added.
 
 Null texts have no words. Repeated item rows count once by item_id; a null item_id is the item
 "null". Repeated documents give repeated rows; an empty table on either side gives no hits.
@@ -16,6 +18,7 @@ Null texts have no words. Repeated item rows count once by item_id; a null item_
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +43,23 @@ def windows_of(text: str, window: int) -> set[tuple[bytes, ...]]:
     return {tuple(words[i : i + window]) for i in range(max(1, len(words) - window + 1))}
 
 
+def parts_of(text: str, window: int, part_bytes: int) -> Iterator[str]:
+    """The text, or its words in parts of about `part_bytes` that have its windows between them."""
+    if len(text.encode()) <= part_bytes:
+        yield text
+        return
+    part, size, new = [], 0, 0
+    for word in words_of(text):
+        if new and size + len(word) > part_bytes and len(part) >= 2 * window:
+            yield b" ".join(part).decode()
+            part = part[len(part) - window + 1 :]
+            size, new = sum(len(w) + 1 for w in part), 0
+        part.append(word)
+        size, new = size + len(word) + 1, new + 1
+    if new:
+        yield b" ".join(part).decode()
+
+
 def word_counts(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
     """How often each word of a bounded vocabulary occurs in all documents."""
     def work(batches):
@@ -89,6 +109,20 @@ def contamination(
         F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
         text_or_empty().alias("text"),
     ).distinct()
+
+    part_bytes = block_bytes // 20
+
+    def split(batches):
+        for batch in batches:
+            for item, text in zip(batch["item"], batch["text"], strict=True):
+                for part in parts_of(text, window, part_bytes):
+                    yield {"item": [item], "text": [part]}
+
+    long = F.octet_length("text") > part_bytes
+    items = materialize(
+        items.where(~long).union(map_batches(items.where(long), "item string, text string", split)),
+        "items",
+    )
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = parts_for(size, block_bytes)
     key = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))

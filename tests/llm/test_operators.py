@@ -287,6 +287,23 @@ def test_contamination(spark, docs, none, texts):
     assert decontam.contamination(docs, bench.where("false")).where(F.size("hits") > 0).count() == 0
 
 
+def test_long_items_are_split(spark, monkeypatch):
+    """No block holds much more than its bytes of a long item, and the windows found are the same."""
+    item = prose(1, 4000)
+    words = item.split()
+    docs = [(k, " ".join(["zz"] * 3 + words[k * 7 : k * 7 + 30])) for k in range(300)] + [(300, " ".join(words[::-1]))]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, " ".join(words[50:63]))], "item_id long, text string")
+    sizes, index = [], decontam.prefix_index
+    monkeypatch.setattr(decontam, "prefix_index", lambda rows, *rest: sizes.append(sum(len(t) for _, t in rows)) or index(rows, *rest))
+    whole = by_id(decontam.contamination(docs, bench))
+    assert max(sizes) > 20_000
+    sizes.clear()
+    parts = by_id(decontam.contamination(docs, bench, block_bytes=8000))
+    assert max(sizes) < 16_000
+    assert parts == whole and all(whole[k]["hits"] for k in range(300))
+
+
 # --- 5 ------------------------------------------------------------------------------
 
 
