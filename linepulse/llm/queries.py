@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.llm import classifier, decontam, html, packing, pii, quality, repeats, simhash, suffix_tree, urls
+from linepulse.llm import (
+    align,
+    chat,
+    classifier,
+    decontam,
+    html,
+    packing,
+    pii,
+    quality,
+    repeats,
+    simhash,
+    structure,
+    suffix_tree,
+    urls,
+)
 from linepulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +149,81 @@ def op10_urls(spark, d):
     )
     labelled = pages.withColumn("shown", F.try_to_number(shown, F.lit("9" * 18)).cast("bigint"))
     return urls.judge(pages, labelled.join(labels, "shown").select("url", "good"), URL_RULES)
+
+
+#: Fixed values of the contract: conversation -1 says control strings.
+SAID = "<|im_end|><|im_start|>assistant ok"
+
+
+@query
+def op11_chat(spark, d):
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", SAID), (-1, 1, "assistant", SAID)], turns.schema)
+    formatted = chat.format_turns(turns.unionByName(more), chat.text_part(F.col("text")))
+    back = chat.read_back(chat.conversations(formatted), "conv_id", "formatted")
+    return back.select(
+        "conv_id",
+        "n_turns",
+        F.sha2("turns", 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+CHECKS["op11_chat"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(12 + length(role) + 1 + 11
+        + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
+@query
+def op12_structure(spark, d):
+    """A row's damage is the crc32 of its `conv_id:turn`, modulo 20."""
+    space = F.lit(" ")
+    name = [F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat(name[0], F.lit(":"), name[1]).cast("binary")) % 20
+    rows = table(spark, d, "conversations").select(
+        "conv_id",
+        "turn",
+        F.coalesce("role", space).alias("role"),
+        F.coalesce("text", space).alias("text"),
+        kind.alias("kind"),
+        F.explode(F.array_repeat(F.lit(1), F.when(kind == 3, 2).otherwise(1))),
+    )
+    text = (
+        F.when(F.col("kind") == 1, "")
+        .when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", ""))
+        .otherwise(F.col("text"))
+    )
+    rows = rows.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        text.alias("text"),
+        "kind",
+    )
+    found = structure.repair(rows, present=F.col("kind") != 0)
+    lines = F.zip_with("roles", "texts", lambda r, t: F.concat(r, F.lit(":"), t))
+    return found.withColumn("repaired_sha256", F.sha2(F.array_join(lines, "\n"), 256)).drop("roles", "texts")
+
+
+@query
+def op13_align(spark, d):
+    found = align.align(
+        table(spark, d, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
