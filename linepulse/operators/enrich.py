@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from linepulse.functions import text, times
 from linepulse.operators.lookups import VERSION
+from linepulse.operators.skew import SALT, Salting
 
 DEFAULT_COST = 0.20
 UNIT_BASE = "https://reports.example/unit"
@@ -32,8 +33,13 @@ def _bare(lookup: DataFrame) -> DataFrame:
     return lookup.drop(VERSION)
 
 
-def _equipment(events: DataFrame, equipment: DataFrame, xref: DataFrame | None) -> DataFrame:
-    """Events with machine and plant; with a cross-reference the plant has to fit too."""
+def _equipment(
+    events: DataFrame, equipment: DataFrame, xref: DataFrame | None, salting: Salting | None = None
+) -> DataFrame:
+    """Events with machine and plant; with a cross-reference the plant has to fit too.
+
+    `salting` spreads the events of hot machines and repeats those machines.
+    """
     machines = _bare(equipment).select(
         "equipment_make", "machine_name", F.col("plant").alias("machine_plant"), "head_1"
     )
@@ -45,6 +51,11 @@ def _equipment(events: DataFrame, equipment: DataFrame, xref: DataFrame | None)
         here = text.tag_location(F.col("xml_tag_name"))
         events = events.join(places, here == F.col("tag_location"))
         match = match & (F.col("tag_plant") == F.col("machine_plant"))
+    if salting is not None:
+        events = salting.spread(events, "user_name")
+        machines = salting.repeat(machines, "equipment_make").withColumnRenamed(SALT, "machine_salt")
+        match = match & (F.col(SALT) == F.col("machine_salt"))
+        return events.join(machines, match).drop(SALT, "machine_salt")
     return events.join(machines, match)
 
 
@@ -119,6 +130,7 @@ def timers(
     xref: DataFrame | None = None,
     as_of=None,
     limit: int | None = None,
+    salting: Salting | None = None,
 ) -> DataFrame:
     base = _with_order(_events(events, "date_time", as_of)).select(
         "xml_tag_name",
@@ -134,7 +146,7 @@ def timers(
         "ul_waiting_for_board_in_workarea",
         "split_plant_id",
     )
-    result = _work_order(_equipment(base, equipment, xref), wodetail).select(
+    result = _work_order(_equipment(base, equipment, xref, salting), wodetail).select(
         *base.columns,
         "machine_name",
         F.col("machine_plant").alias("plant"),

@@ -151,6 +151,12 @@ VIEWS = {
                CAST(ts AS TIMESTAMP) AS bicoe_load_dttm, event_type AS machine_id,
                CASE WHEN user_id % 2 = 0 THEN 'Top' ELSE 'Bottom' END AS pcb_side
         FROM {events}""",
+    "kpi_records": """
+        SELECT CASE event_id % 3 WHEN 0 THEN 'fpy' WHEN 1 THEN 'ffr' ELSE 'volume' END AS kpi,
+               event_type AS machine_id, CASE WHEN user_id % 2 = 0 THEN 'Top' ELSE 'Bottom' END AS pcb_side,
+               value / 1000 AS result, CAST(ts AS TIMESTAMP) AS max_inspection_end_time,
+               lpad(CAST(event_id AS STRING), 12, '0') AS generated_key
+        FROM {events}""",
     "words": """
         SELECT CASE l_linenumber WHEN 1 THEN 'Int' WHEN 2 THEN 'int64' WHEN 3 THEN 'Decimal'
                     WHEN 4 THEN 'Boolean' WHEN 5 THEN 'INT' WHEN 6 THEN 'Float' ELSE 'double' END AS word,

@@ -64,3 +64,27 @@ def materialize(df, name: str = "stage"):
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below `path` whose write has come to its end; none if there is no `path`."""
+    files, at = _file_system(spark, path)
+    if not files.exists(at):
+        return []
+    jvm = spark._jvm.org.apache.hadoop.fs
+    return sorted(
+        s.getPath().getName()
+        for s in files.listStatus(at)
+        if s.isDirectory() and files.exists(jvm.Path(s.getPath(), "_SUCCESS"))
+    )
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that was written here and that nothing reads any more."""
+    files, at = _file_system(spark, path)
+    files.delete(at, True)

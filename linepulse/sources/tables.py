@@ -53,3 +53,36 @@ def create_tables(spark: SparkSession, env: str = "", location: str | None = Non
     for spec in SPECS.values():
         spark.sql(table_ddl(spec, env, location))
     return [full_name(env, name) for name in SPECS]
+
+
+def footer_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table whose counts, minima and maxima come from the footers of its files.
+
+    The newer file source can do that; aggregates on such a table without filters read no column.
+    """
+    setting = "spark.sql.sources.useV1SourceList"
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, ",".join(s for s in before.split(",") if s != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def bucketed_table(
+    spark: SparkSession, rows: DataFrame, name: str, key: str, buckets: int, location: str
+) -> DataFrame:
+    """`rows` as a catalog table in sorted buckets of `key`, and that table.
+
+    Joins and sums on the key read the buckets as they lie, without a shuffle, on either side with the
+    same number of buckets. The rows are dealt by bucket before they are written, so a bucket is one
+    file that needs no sort on reading.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+        f"INTO {buckets} BUCKETS LOCATION '{location}'"
+    )
+    rows.repartition(buckets, key).write.insertInto(name)
+    return spark.table(name)
