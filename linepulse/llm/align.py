@@ -27,9 +27,10 @@ empty table gives no rows. Other columns, whatever their names, are ignored.
 from __future__ import annotations
 
 import heapq
+import itertools
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,10 @@ RADICES = 16
 TOGETHER = 64
 #: Pairs of a frame.
 FRAME = 4096
-#: Units a Python worker remembers at most, and the longest it remembers.
-REMEMBERED, LONGEST = 250_000, 64
+#: Units a Python worker remembers, about, and units encoded in one go.
+REMEMBERED, AT_ONCE = 400_000, 4000
+#: A pair's code is its B id and its A id; a record's key is the code and the document's place.
+A_BITS, B_BITS, PLACE_BITS = 20, 22, 21
 
 _UNIT = re.compile(r"(?<! ) (?=\S)")
 
@@ -67,6 +70,14 @@ def _letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def _counts(lists: list) -> np.ndarray:
+    return np.fromiter(map(len, lists), np.int64, len(lists))
+
+
+def _flat(lists: list, counts: np.ndarray) -> np.ndarray:
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(counts.sum()))
+
+
 class Sides:
     """Both tokenizers, the bytes of their tokens, and what units give."""
 
@@ -90,58 +101,110 @@ class Sides:
         for token, i in self.a.get_vocab().items():
             mapped = [letter.get(c) for c in token]
             self.bytes_a[i] = token.encode() if None in mapped else bytes(mapped)
-        self.known: dict[str, tuple] = {}
-
-    def learn(self, new: list[str]) -> dict[str, tuple]:
-        """n_a, n_b, groups and links (B id << 32 | A id) of units; None if a side spells another text."""
-        found = {}
-        both = zip(
-            new,
-            self.a.encode_batch_fast(new, add_special_tokens=False),
-            self.b.encode([u[1:] for u in new], num_threads=1),
-            strict=True,
-        )
-        for unit, a, b in both:
-            found[unit] = self._align(unit.encode(), a.ids, b)
-        return found
-
-    def _align(self, raw: bytes, a: list[int], b: list[int]) -> tuple | None:
-        in_a, in_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(in_a) != raw or b"".join(in_b) != raw:
-            return None
-        groups, links = [], []
-        i = j = at_a = at_b = 0
-        while i < len(a):
-            from_a, from_b = i, j
-            at_a, i = at_a + len(in_a[i]), i + 1
-            at_b, j = at_b + len(in_b[j]), j + 1
-            while at_a != at_b:
-                if at_a < at_b:
-                    at_a, i = at_a + len(in_a[i]), i + 1
-                else:
-                    at_b, j = at_b + len(in_b[j]), j + 1
-            groups.append(",".join(map(str, a[from_a:i])) + "|" + ",".join(map(str, b[from_b:j])))
-            links.append(b[j - 1] << 32 | a[i - 1])
-        return len(a), len(b), ";".join(groups), np.array(links, np.int64)
+        if len(self.bytes_a) > 1 << A_BITS or len(self.bytes_b) > 1 << B_BITS:
+            raise ValueError("vocabularies are too large for the pair codes")
+        self.size_a, self.size_b = _counts(self.bytes_a), _counts(self.bytes_b)
+        # ids as text with what follows them: inside a group, at its end, at the end of a unit
+        self.text_a = [np.array([f"{k}{c}" for k in range(len(self.bytes_a))], object) for c in ",|"]
+        self.text_b = [np.array([f"{k}{c}" for k in range(len(self.bytes_b))], object) for c in ",;\n"]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.n_a = self.n_b = self.n_links = self.links = _NONE
+
+    def _encode(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both sides for all units in a row, how many each unit has, and whether it is spelt.
+
+        Plain units are encoded many at a time, as no token crosses from one to the next.
+        """
+        raw = [u.encode() for u in new]
+        odd = [u[1:2].isspace() or u[-1].isspace() or "▁" in u for u in new]
+        blocks, sizes, held = [], [], AT_ONCE
+        for unit, alone in zip(new, odd, strict=True):
+            if alone or held >= AT_ONCE:
+                blocks.append([])
+                held = AT_ONCE if alone else 0
+            blocks[-1].append(unit)
+            held += 1
+        texts = ["".join(b) for b in blocks]
+        ids_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        ids_b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        ends = np.cumsum(_counts(raw))
+        found, spelt = [], np.ones(len(new), bool)
+        for ids, names, lengths in ((ids_a, self.bytes_a, self.size_a), (ids_b, self.bytes_b, self.size_b)):
+            flat = _flat(ids, _counts(ids))
+            at = np.cumsum(lengths[flat])
+            if b"".join(map(names.__getitem__, flat.tolist())) == b"".join(raw):
+                found.append((flat, np.diff(np.searchsorted(at, ends, "right"), prepend=0)))
+                continue
+            # some unit is not spelt: each by itself
+            single = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)] if ids is ids_a else (
+                self.b.encode([u[1:] for u in new], num_threads=1)
+            )
+            spelt &= [b"".join(map(names.__getitem__, i)) == r for i, r in zip(single, raw, strict=True)]
+            found.append((_flat(single, _counts(single)), _counts(single)))
+        (a, n_a), (b, n_b) = found
+        return a, n_a, b, n_b, spelt
+
+    def learn(self, new: list[str]) -> None:
+        """Aligns units; those that a side spells as another text get -1 tokens."""
+        a, n_a, b, n_b, spelt = self._encode(new)
+        if not spelt.all():
+            a, b = a[np.repeat(spelt, n_a)], b[np.repeat(spelt, n_b)]
+        each_a, each_b = n_a[spelt], n_b[spelt]
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        both_a, both_b = np.isin(end_a, end_b, assume_unique=True), np.isin(end_b, end_a, assume_unique=True)
+        group_a, group_b = np.cumsum(both_a) - both_a, np.cumsum(both_b) - both_b
+        n_groups = int(both_a.sum())
+        of_a, of_b = (np.cumsum(np.bincount(g, minlength=n_groups)) for g in (group_a, group_b))
+        # a group's ids of side A come before those of side B
+        place_a = np.arange(len(a)) + np.concatenate([[0], of_b])[group_a]
+        place_b = np.arange(len(b)) + of_a[group_b]
+        words = np.empty(len(a) + len(b), object)
+        words[place_a] = np.where(both_a, self.text_a[1][a], self.text_a[0][a])
+        words[place_b] = np.where(both_b, self.text_b[1][b], self.text_b[0][b])
+        last = np.cumsum(each_b) - 1
+        words[place_b[last]] = self.text_b[2][b[last]]
+        groups = iter("".join(words.tolist()).split("\n"))
+        inside = np.concatenate([[0], np.cumsum(both_a)])
+        stops = np.cumsum(each_a)
+        n_links = np.zeros(len(new), np.int64)
+        n_links[spelt] = inside[stops] - inside[stops - each_a]
+        self.known.update(zip(new, range(len(self.groups), len(self.groups) + len(new)), strict=True))
+        self.groups += [next(groups) if ok else "" for ok in spelt.tolist()]
+        self.n_a = np.concatenate([self.n_a, np.where(spelt, n_a, -1)])
+        self.n_b = np.concatenate([self.n_b, np.where(spelt, n_b, -1)])
+        self.n_links = np.concatenate([self.n_links, n_links])
+        self.links = np.concatenate([self.links, b[both_b] << A_BITS | a[both_a]])
 
     def align(self, texts: list[str | None]) -> list[tuple]:
-        """(n_a, n_b, groups as text, links) of each text."""
+        """(n_a, n_b, groups as text, links as pair codes) of each text."""
         if len(self.known) > REMEMBERED:
-            self.known = {}
+            self.forget()
         split = [units(t) if t else [] for t in texts]
-        new = {u for us in split for u in us}.difference(self.known)
-        self.known |= self.learn(list(new)) if new else {}
+        every = list(itertools.chain.from_iterable(split))
+        new = list(dict.fromkeys(u for u in every if u not in self.known))
+        if new:
+            self.learn(new)
+        at = np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
+        bounds = np.concatenate([[0], np.cumsum(_counts(split))])
+        sums = [np.concatenate([[0], np.cumsum(x[at])]) for x in (self.n_a, self.n_b, self.n_links, self.n_a < 0)]
+        n_a, n_b, n_links, unspelt = (x[bounds[1:]] - x[bounds[:-1]] for x in sums)
+        starts = (np.cumsum(self.n_links) - self.n_links)[at]
+        each = self.n_links[at]
+        ends = np.cumsum(each)
+        links = self.links[np.repeat(starts - (ends - each), each) + np.arange(int(each.sum()))]
+        names, to = self.groups, at.tolist()
         out = []
-        for us in split:
-            got = list(map(self.known.__getitem__, us))
-            if not got or None in got:
+        for k, (i, j) in enumerate(itertools.pairwise(bounds.tolist())):
+            if i == j or unspelt[k]:
                 out.append((0, 0, "", _NONE))
                 continue
-            a, b, groups, links = zip(*got, strict=True)
-            out.append((sum(a), sum(b), ";".join(groups), np.concatenate(links)))
-        for unit in new:
-            if len(unit) > LONGEST:
-                del self.known[unit]
+            first = int(sums[2][i])
+            groups = ";".join(map(names.__getitem__, to[i:j]))
+            out.append((int(n_a[k]), int(n_b[k]), groups, links[first : first + int(n_links[k])]))
         return out
 
 
@@ -203,25 +266,25 @@ def _batch(columns: dict) -> pa.RecordBatch:
 
 def _runs(chunk: int, links: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """The runs of a chunk, given the links of its documents."""
-    counts = [len(x) for x in links]
-    codes, at = np.unique(np.concatenate([_NONE, *links]), return_inverse=True)
-    docs = np.repeat(np.arange(len(links)), counts)
-    keys, n = np.unique(at * len(links) + docs, return_counts=True)
-    pair, doc = np.divmod(keys, max(1, len(links)))
-    radix = (codes >> 32) & (RADICES - 1)
+    place = np.repeat(np.arange(len(links)), _counts(links))
+    keys = np.sort(np.concatenate([_NONE, *links]) << PLACE_BITS | place)
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    keys, n = keys[first], np.diff(np.append(first, len(keys)))
+    radix = keys >> PLACE_BITS + A_BITS & RADICES - 1
     for r in range(RADICES):
-        own = radix[pair] == r
-        if own.any():
-            numbers, place = np.unique(pair[own], return_inverse=True)
-            sums = np.zeros(len(numbers), np.int64)
-            np.add.at(sums, place, n[own])
-            records = _packed(np.diff(place, prepend=0), doc[own], n[own])
+        own = np.flatnonzero(radix == r)
+        if len(own):
+            codes, doc, count = keys[own] >> PLACE_BITS, keys[own] & (1 << PLACE_BITS) - 1, n[own]
+            starts = np.flatnonzero(np.diff(codes, prepend=-1))
+            frames = _frames(codes[starts], np.add.reduceat(count, starts))
+            steps = np.zeros(len(own), np.int64)
+            steps[starts[1:]] = 1
             yield _batch(
-                {"chunk": [chunk], "radix": [r], "frames": [_frames(codes[numbers], sums)], "records": [records]}
+                {"chunk": [chunk], "radix": [r], "frames": [frames], "records": [_packed(steps, doc, count)]}
             )
 
 
-def _encoded(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def _encoded(docs: DataFrame, path_a: str, path_b: str, kept: Callable[[str], str]) -> DataFrame:
     """A row for each document (`place` in its chunk) and one for each run (`radix`)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +306,7 @@ def _encoded(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                         "n_b": [f[1] for f in found],
                         "n_groups": [f[2].count("|") for f in found],
                         "n_links": [len(f[3]) for f in found],
-                        "groups": [f[2] for f in found],
+                        "groups": [kept(f[2]) for f in found],
                     }
                 )
                 links += [f[3] for f in found]
@@ -317,7 +380,7 @@ def _given_back(runs: DataFrame, counted: DataFrame, chunks: int) -> DataFrame:
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         codes, counts = _whole(right.column("frames")[0].as_py())
-        first = np.flatnonzero(np.diff(codes >> 32, prepend=-1))
+        first = np.flatnonzero(np.diff(codes >> A_BITS, prepend=-1))
         highest = np.maximum.reduceat(counts, first)
         best = counts == np.repeat(highest, np.diff(np.append(first, len(codes))))
         out = {"chunk": [], "place": [], "n_best": [], "count_sum": []}
@@ -351,13 +414,14 @@ def _given_back(runs: DataFrame, counted: DataFrame, chunks: int) -> DataFrame:
     )
 
 
-def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def align(docs: DataFrame, path_a: str, path_b: str, kept: Callable[[str], str] = str) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups (`a1,a2|b1;a3|b2,b3`).
 
     `path_a` is a byte-level file of the `tokenizers` library that splits before spaces, `path_b` a
-    `sentencepiece` model that puts a space before the text.
+    `sentencepiece` model that puts a space before the text. `kept` says what is kept of the
+    groups of a document, which are longer than its text, before rows are written and shuffled.
     """
-    encoded = materialize(_encoded(docs, path_a, path_b), "alignment")
+    encoded = materialize(_encoded(docs, path_a, path_b, kept), "alignment")
     runs = encoded.where("radix is not null")
     chunks = runs.select("chunk").distinct().count()
     counted = materialize(_counted(runs, chunks), "pair-counts")

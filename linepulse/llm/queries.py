@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -158,7 +159,12 @@ SAID = "<|im_end|><|im_start|>assistant ok"
 @query
 def op11_chat(spark, d):
     turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
-    more = spark.createDataFrame([(-1, 0, "user", SAID), (-1, 1, "assistant", SAID)], turns.schema)
+    more = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(SAID).alias("text"),
+    )
     formatted = chat.format_turns(turns.unionByName(more), chat.text_part(F.col("text")))
     back = chat.read_back(chat.conversations(formatted), "conv_id", "formatted")
     return back.select(
@@ -218,12 +224,16 @@ def op12_structure(spark, d):
     return found.withColumn("repaired_sha256", F.sha2(F.array_join(lines, "\n"), 256)).drop("roles", "texts")
 
 
+def _digest(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest() if text else ""
+
+
 @query
 def op13_align(spark, d):
     found = align.align(
         table(spark, d, "documents"),
         public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("piece_bpe_32k.model"),
+        kept=_digest,
     )
-    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
-    return found.withColumn("groups_sha256", digest).drop("groups")
+    return found.withColumnRenamed("groups", "groups_sha256")
