@@ -5,6 +5,7 @@ repeated rows, empty tables and further columns.
 import collections
 import hashlib
 import json
+import math
 import random
 import re
 import zlib
@@ -323,28 +324,96 @@ def test_word_scores(docs, none, texts):
     assert by_id(suffix_tree.score(docs, F.lit(False)))[3]["train_tokens"] == 0
 
 
-def test_scores_do_not_depend_on_batches(spark, docs, texts, monkeypatch):
+def scored_plainly(tokens, learnt, evidence, longest):
+    """Scores by dictionaries of whole contexts, as the docstring of the operator tells."""
+    counts = collections.Counter(w for words, own in zip(tokens, learnt) if own for w in words)
+    n, v = sum(counts.values()), len(counts)
+    cost = -sum(c * math.log(c / n) for c in counts.values()) / n
+    following = collections.defaultdict(collections.Counter)
+    for words, own in zip(tokens, learnt):
+        before = ["\n", *words]
+        for i, w in enumerate(words):
+            for k in range(1, longest + 1):
+                if own and i + 1 - k >= 0:
+                    following[tuple(before[i + 1 - k : i + 1])][w] += 1
+
+    def kept(context):
+        after = following.get(context, {})
+        total, different = sum(after.values()), len(after)
+        if total < evidence:
+            return False
+        own = different * math.log(different) + sum(math.lgamma(c) for c in after.values())
+        own += math.lgamma(different) - math.lgamma(different + total)
+        return own + (total - different) * cost > suffix_tree.BOUND
+
+    retained = {c for c in following if kept(c)}
+    out = []
+    for words in tokens:
+        before, score = ["\n", *words], 0.0
+        for i, w in enumerate(words):
+            p = (counts[w] + 0.5) / (n + 0.5 * (v + 1))
+            for k in range(1, min(longest, i + 1) + 1):
+                context = tuple(before[i + 1 - k : i + 1])
+                if context in retained:
+                    after = following[context]
+                    spread = suffix_tree.WEIGHT * len(after)
+                    p = (after[w] + spread * p) / (sum(after.values()) + spread)
+            score += math.log10(p)
+        out.append(score)
+    return out, retained
+
+
+@pytest.mark.parametrize("longest, hot", [(1, 512), (3, 512), (4, 20)])
+def test_suffix_tree_scores(spark, docs, texts, monkeypatch, longest, hot):
+    monkeypatch.setattr(suffix_tree, "HOT", hot)
+    monkeypatch.setattr(suffix_tree, "CHUNK_BYTES", 20_000)
+    monkeypatch.setattr(suffix_tree, "BUCKET_BYTES", 20_000)
+    tokens = [WORD.findall(low(t)) + ["\n"] for t in texts]
+    learnt = [k % 3 != 1 for k in range(len(texts))]
+    want, retained = scored_plainly(tokens, learnt, 4, longest)
+    assert {len(c) for c in retained} == set(range(1, longest + 1))
+    rows = by_id(suffix_tree.score(docs, F.col("doc_id") % 3 != 1, longest=longest, evidence=4))
+    for k, score in enumerate(want):
+        assert rows[k]["score"] == pytest.approx(score, rel=1e-6), k
+
+
+def test_scores_do_not_depend_on_chunks(docs, texts, monkeypatch):
     learn = F.col("doc_id") % 3 != 1
     whole = by_id(suffix_tree.score(docs, learn))
-    monkeypatch.setattr(suffix_tree, "BATCH_BYTES", 20_000)
-    monkeypatch.setattr(suffix_tree, "BUCKET_BYTES", 20_000)
-    monkeypatch.setattr(suffix_tree, "TOGETHER", 2)  # symbol codes are added up in several rounds
-    parts = by_id(suffix_tree.score(docs, learn))
+    monkeypatch.setattr(suffix_tree, "CHUNK_DOCS", 3)
+    monkeypatch.setattr(suffix_tree, "BUCKET_BYTES", 5_000)
+    parts = by_id(suffix_tree.score(docs.repartition(5), learn))
     for k in range(len(texts)):
         for name, value in whole[k].asDict().items():
             assert parts[k][name] == pytest.approx(value), name
 
 
-def test_suffix_tree_is_a_distribution():
-    text = b"abracadabra and abacus; " * 40
-    grams, counts = np.unique(suffix_tree.codes(text), return_counts=True)
-    retained, table = suffix_tree.grow(grams.astype(np.int64), counts)
-    assert np.allclose((10.0**table).sum(axis=1), 1, atol=1e-4) and len(table) > 10
-    state = suffix_tree.states(retained)
-    assert suffix_tree.text_score(text, state, table) > suffix_tree.text_score(text[::-1], state, table)
-    one = suffix_tree.text_score(b"abracadabra", state, table)
-    slow = sum(table[state[c >> 6], c & 63] for c in suffix_tree.codes(b"abracadabra").tolist())
-    assert one == pytest.approx(float(slow), rel=1e-5)
+def test_context_keeps_a_distribution():
+    """Smoothed probabilities of all symbols and of all others together are one."""
+    rng = np.random.default_rng(1)
+    counts = rng.integers(0, 9, 200) * (rng.random(200) < 0.5)
+    parent = rng.dirichlet(np.ones(201))[:200]  # the rest stands for all other symbols
+    n, different = counts.sum(), (counts > 0).sum()
+    p = suffix_tree.probability(parent, counts, np.full(200, n), np.full(200, different), np.full(200, 1e9), 5.0, 64)
+    rest = suffix_tree.WEIGHT * different * (1 - parent.sum()) / (n + suffix_tree.WEIGHT * different)
+    assert p.sum() + rest == pytest.approx(1)
+
+
+def test_log_gamma():
+    for n in (1, 2, 5, 200, 254, 255, 256, 10_000, 10**9):
+        assert suffix_tree.log_gamma(np.array([n]))[0] == pytest.approx(math.lgamma(n), rel=1e-9, abs=1e-9)
+
+
+def test_tree_grows_and_beats_the_words_alone(spark):
+    """Held-out figures of the given tables: every language above its word counts, more contexts with more data."""
+    totals = {}
+    for folder in ("sf0.001", "sf0.01"):
+        docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")
+        learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1
+        scored = suffix_tree.score(docs, learn).where("not learn").join(docs.select("doc_id", "lang"), "doc_id")
+        sums = scored.groupBy("lang").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n"))
+        totals[folder] = {r["lang"]: (r["s"] / r["n"], r["b"] / r["n"]) for r in sums.collect()}
+    assert all(s > b + 0.03 for s, b in totals["sf0.01"].values()), totals
 
 
 # --- 6 ------------------------------------------------------------------------------
