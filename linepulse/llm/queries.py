@@ -108,7 +108,8 @@ def op6_html(spark, d):
 @query
 def op7_repeats(spark, d):
     found = repeats.remove_repeats(table(spark, d, "documents"), length=400)
-    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+    digest, repeated = F.sha2("kept", 256), F.col("n_removed") > 0
+    return found.withColumn("kept_sha256", digest).withColumn("repeated", repeated).drop("kept")
 
 
 @query

@@ -12,6 +12,8 @@ about one run for 180 bytes, and only runs are shuffled, by anchor:
 * an anchor in more different runs than a group holds (a line that very many documents share at
   the edges of different text) has its windows compared by their hashes, in blocks dealt by hash.
 
+Anchors and runs that very many rows have are joined in parts, so no task gets all rows of one.
+
 Null text is an empty document. Each row is a document of its own, even if ids repeat. Bytes are
 judged on the input. An empty table gives no rows.
 """
@@ -25,11 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linepulse.llm.common import map_batches, materialize, parts_for, ship, text_or_empty, with_rows
+from linepulse.operators.skew import SALT, Salting
 
 #: Bytes whose hashes are compared to choose an anchor.
 GRAM = 48
 #: Bytes sorted together, and different runs of one anchor that still go to a group.
 SORTED_BYTES, MOST_RUNS = 1 << 18, 1000
+#: A key with more than 1 of HOT rows is joined in that many parts.
+HOT, PARTS = 512, 64
 #: Windows of a text looked at together.
 AT_ONCE = 1 << 20
 
@@ -156,6 +161,19 @@ def suffix_order(text: bytes, needed: np.ndarray, depth: int) -> np.ndarray:
     return found[wanted[found]]
 
 
+def common_prefix(text: bytes, p: int, q: int, most: int) -> int:
+    """How many bytes the suffixes at `p` and `q` have in common at their start, up to `most`."""
+    low, high = 0, most + 1  # equal for `low` bytes, not for `high`
+    step = most
+    while high - low > 1:
+        if text[p + low : p + low + step] == text[q + low : q + low + step]:
+            low += step
+        else:
+            high = low + step
+        step = max(1, (high - low) // 2)
+    return low
+
+
 def repeated(parts: list[bytes], length: int) -> list[np.ndarray]:
     """For each part: which of its windows (strings of `length` bytes) occur elsewhere in parts."""
     text = b"\xff".join(parts) + b"\xff"  # no byte of UTF-8
@@ -167,11 +185,8 @@ def repeated(parts: list[bytes], length: int) -> list[np.ndarray]:
     if not len(needed):
         return [np.zeros(n, bool) for n in counts]
     order = suffix_order(text, needed, length).tolist()
-    equal = [
-        text[p : p + length] == text[q : q + length]
-        for p, q in zip(order[:-1], order[1:], strict=True)
-    ]
-    equal = np.array([False, *equal, False])
+    prefixes = [common_prefix(text, p, q, length) for p, q in zip(order[:-1], order[1:], strict=True)]
+    equal = np.array([0, *prefixes, 0]) >= length
     marked = np.zeros(len(text), bool)
     marked[np.array(order)] = equal[:-1] | equal[1:]
     return [marked[o : o + n] for o, n in zip(offsets, counts, strict=True)]
@@ -293,20 +308,40 @@ def _by_hash(parts: DataFrame, length: int) -> DataFrame:
     )
 
 
+def _hot(counted: DataFrame, key: str) -> tuple[int, ...]:
+    """The keys of a table of (key, n) that have more than 1 of `HOT` of all rows: fewer than `HOT`."""
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    return tuple(r[0] for r in counted.where(F.col("n") * HOT > total).select(key).distinct().collect())
+
+
+def _join(
+    left: DataFrame, right: DataFrame, on: list[str], key: str, hot: tuple[int, ...], how: str = "inner"
+) -> DataFrame:
+    """An equi-join in which the left rows of hot keys are spread over parts."""
+    salting = Salting(hot, PARTS)
+    joined = salting.spread(left, key).join(salting.repeat(right, key), [*on, SALT], how)
+    return joined.drop(SALT)
+
+
 def covered(docs: DataFrame, length: int = 400, most_runs: int | None = None) -> DataFrame:
     """Byte ranges (row, start, stop), maybe overlapping, that repeat. docs: row, text."""
     most_runs = MOST_RUNS if most_runs is None else most_runs
-    found = materialize(anchors(docs, length), "anchors")
-    again = found.groupBy("anchor").count().where("count > 1").select("anchor")
-    found = materialize(found.join(again, "anchor", "left_semi"), "candidates")
-    different = found.groupBy("anchor", "digest").agg(
+    found = materialize(anchors(docs, length), "anchors").withColumn("mark", F.xxhash64("digest"))
+    again = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    candidates = _join(found, again, ["anchor"], "anchor", _hot(again, "anchor"), "left_semi")
+    found = materialize(candidates, "candidates")
+    different = found.groupBy("anchor", "digest", "mark").agg(
         F.count("*").alias("n"), F.min(F.struct("row", "first", "size")).alias("one")
     )
     different = materialize(different, "runs")
-    whole = found.join(different.where("n > 1").select("anchor", "digest"), ["anchor", "digest"], "left_semi")
+    repeated_runs = different.where("n > 1").select("anchor", "digest", "mark", "n")
+    whole = _join(
+        found, repeated_runs, ["anchor", "digest", "mark"], "mark", _hot(repeated_runs, "mark"), "left_semi"
+    )
     kinds = different.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    many = _hot(kinds.withColumnRenamed("kinds", "n"), "anchor")
     picked = (
-        different.join(kinds, "anchor")
+        _join(different, kinds, ["anchor"], "anchor", many)
         .select("one.*", "anchor", "n", (F.col("kinds") > most_runs).alias("hot"))
         .groupBy("row")
         .agg(F.collect_list(F.struct("first", "size", "anchor", "n", "hot")).alias("picked"))

@@ -495,7 +495,32 @@ def test_suffix_order():
         assert [text[p:] for p in order] == sorted(text[p:] for p in needed.tolist())
 
 
-# --- 8 ------------------------------------------------------------------------------
+def test_common_prefixes():
+    rng = random.Random(6)
+    text = bytes(rng.choices(b"ab", k=60)) * 2 + b"\xff"
+    for _ in range(300):
+        p, q, most = rng.randrange(60), rng.randrange(60), rng.choice([1, 2, 7, 30])
+        want = next((k for k in range(most) if text[p + k] != text[q + k]), most)
+        assert repeats.common_prefix(text, p, q, most) == want
+
+
+def test_passages_around_the_length(spark, monkeypatch):
+    """Shared passages of 399 bytes stay, longer ones go; anchors that most rows have are joined in parts."""
+    monkeypatch.setattr(repeats, "HOT", 8)
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz     "
+    passages = {n: "".join(rng.choices(letters, k=n)) for n in (397, 398, 399, 900)}
+    texts = []
+    for n, passage in passages.items():
+        for k in range(40 if n == 900 else 2):  # different bytes at the edges, so nothing longer is shared
+            texts.append((n, "".join(rng.choices(letters, k=200)) + f"{k}<" + passage + f">{k}" + "".join(rng.choices(letters, k=150))))
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    rows = by_id(repeats.remove_repeats(docs))
+    windows = collections.Counter(t[k : k + 400] for _, t in texts for k in range(len(t) - 399))
+    for i, (n, text) in enumerate(texts):
+        covered = {b for k in range(len(text) - 399) if windows[text[k : k + 400]] > 1 for b in range(k, k + 400)}
+        assert rows[i]["n_removed"] == len(covered) and rows[i]["n_spans"] == bool(covered), n
+    assert [rows[i]["n_removed"] > 0 for i in range(6)] == [False] * 2 + [True] * 4  # with their marks two bytes more
 
 
 def test_classifier_on_held_out_rows(spark):
