@@ -25,6 +25,7 @@ __all__ = [
     "ascii_lower",
     "map_batches",
     "materialize",
+    "owned",
     "parts_for",
     "ship",
     "table",
@@ -54,6 +55,18 @@ def with_rows(docs: DataFrame, *columns: str) -> DataFrame:
     return materialize(docs.select(*columns, F.monotonically_increasing_id().alias("row")), "rows")
 
 
+def owned(docs: DataFrame, columns: list[str] | None, results: tuple[str, ...]) -> tuple[list[str], Column]:
+    """The caller's columns (all if none are named) and a struct of them, which no other column clashes with.
+
+    Names that the result gives to its own columns are refused.
+    """
+    names = list(columns or docs.columns)
+    taken = sorted({n for n in names if n.lower() in results})
+    if taken:
+        raise ValueError(f"columns {taken} have names of the result; rename them or name the columns to keep")
+    return names, F.struct(*[F.col(f"`{n}`") for n in names])
+
+
 def ascii_lower(text: str) -> str:
     """Lower-cases A-Z and nothing else."""
     return text.translate(_LOWER)

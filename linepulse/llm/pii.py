@@ -13,7 +13,9 @@ added where the classifier says so, also beside a strict match that they overlap
 their own kind holds them whole.
 
 All of it is built-in functions. A span is kind, start and end in code points, end exclusive.
-Null text is empty and has no spans. Repeated rows are judged alike; an empty table gives no rows.
+Null text is empty and has no spans. Texts, names and addresses of any length are taken whole. Equal votes are
+counted together and repeated rows each, so rows are judged alike; spans at one place go by kind. An empty table
+gives no rows. Other columns are kept, whatever their names, but a column `_spans` is refused.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linepulse.llm.common import materialize, text_or_empty
+from linepulse.llm.common import materialize, owned, text_or_empty
 
 #: Kinds in the order in which spans at one place are listed.
 KINDS = ["email", "ip", "card", "phone", "secret", "person"]
@@ -36,8 +38,23 @@ CARD = r"[0-9](?:[\x20-]?[0-9]){11,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _KEY = r"(?i)(?:password|passwd|pwd|token|secret|api[_\x20-]?key)[\"']?[\x20\t]*+[=:]"
 _TITLE = r"(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Sr|Sra)\.? "
-_FIRST = r"(?<![\p{L}\p{N}_])(?:John|Mary|Anna|Maria|Peter|Hans|Jean|Jos[eé])(?![\p{L}\p{M}\p{N}_])"
-_NAME = r"\p{Lu}(?:[\p{L}\p{M}]|['’-](?=\p{L})){1,30}+"
+#: First names that are no common word.
+FIRST_NAMES = (
+    "Adam Adrian Albert Alejandro Alexander Alice Alicia Amélie Ana Andrea Andreas Andrew Angela Anna Anne Anneliese Anthony "
+    "Antoine Antonio Arthur Barbara Beatriz Benjamin Bernard Birgit Björn Brian Camille Carlos Carmen Caroline Catherine "
+    "Cécile Charles Charlotte Christian Christina Christine Christopher Claire Claudia Cristina Daniel Daniela David Deborah "
+    "Diego Dieter Dominique Donald Dorothea Edward Eduardo Elena Elisabeth Elizabeth Emily Emma Enrique Eric Erika Ernst "
+    "Étienne Eva Felix Fernando Francisco François Françoise Franz Friedrich Gabriel Geneviève George Gerhard Gisela Gregory "
+    "Guillaume Gustav Hannah Hans Heinrich Helen Helena Hélène Helga Helmut Henri Henry Hermann Horst Hugo Ignacio Ingrid "
+    "Isabel Isabelle Jacques James Jane Javier Jean Jennifer Jérôme Jessica Joachim Johann Johannes John Jonathan Jorge José "
+    "Joseph Juan Juana Julia Julie Julien Jürgen Karen Karin Karl Katharina Kathrin Kevin Klaus Konrad Kurt Laura Laurent "
+    "Léa Leonie Linda Lisa Louis Louise Lucas Lucía Luis Lukas Manfred Manon Manuel Margaret Margarita María Maria Marie "
+    "Markus Marta Martin Mary Mathieu Matthew Matthias Michael Michel Michelle Miguel Monika Mónica Nathalie Nicholas "
+    "Nicolas Nicole Olivier Oscar Pablo Patricia Patrick Paul Pedro Peter Philippe Pierre Rafael Raúl Rebecca Renate Ricardo "
+    "Richard Robert Roberto Roland"
+).split()
+_FIRST = rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(FIRST_NAMES)}|Jose)(?![\p{{L}}\p{{M}}\p{{N}}_])"
+_NAME = r"\p{Lu}(?:[\p{L}\p{M}]|['’-](?=\p{L}))++"
 _NAMED = r"(?<=(?<![\p{L}\p{N}])(?i:name|contact|user|login)\x20?[=:]\x20?[\"']?)"
 _CALLED = (
     r"(?<=(?<![\p{L}\p{N}])(?i:phone|tel|call|fax|mobile|contact)[^\p{L}\p{N}+(]{0,4}"
@@ -45,7 +62,7 @@ _CALLED = (
 )
 LOOSE = {
     "email": (
-        r"[A-Za-z0-9._%+-]{1,64}+ ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}+ ?[\[(] ?dot ?[\])] ?[A-Za-z]{2,24}+",
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]++ ?[\[(] ?dot ?[\])] ?[A-Za-z]{2,}+",
         r"at ?[\])]",
     ),
     "phone": (
@@ -68,8 +85,7 @@ LOOSE = {
 }
 #: Words of the gazetteer and of contexts.
 GAZETTEER = (
-    r"(?i)(?:mail|example|gmail|yahoo|proton|outlook|password|passwd|token|secret|\bJohn\b|\bMary\b"
-    r"|\bAnna\b|\bMaria\b|\bPeter\b|\bHans\b|\bJean\b|\bJos.\b)"
+    r"(?i:mail|example|gmail|yahoo|proton|outlook|password|passwd|token|secret)|" + _FIRST
 )
 CONTEXT = (
     r"(?i)(?:mail|phone|tel|call|fax|mobile|contact|card|visa|account|konto|carte|tarjeta|login"
@@ -205,14 +221,14 @@ def _with_votes(text: Column, span: Column) -> Column:
 FEATURES = [len(KINDS), 3, 2, 2, 2, 4, 4]
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """Adds `_spans`: the base spans, strict matches that none of these overlaps and looser ones that
-    none of their kind holds.
+def candidates(docs: DataFrame, own: Column) -> DataFrame:
+    """`_own`, a struct of the caller's columns, and `_spans`: the base spans, strict matches that none of these
+    overlaps and looser ones that none of their kind holds.
     """
-    text = F.col("_text")
+    docs, text = docs.select(own.alias("_own"), text_or_empty().alias("_text")), F.col("_text")
     groups = [_spans(text, k, p, w(text), c) for k, (p, w, c) in STRICT.items()]
     groups += [_spans(text, k, p, text.rlike(w), None) for k, (p, w) in LOOSE.items()]
-    found = docs.withColumn("_text", text_or_empty()).withColumn("_all", F.concat(*groups))
+    found = docs.withColumn("_all", F.concat(*groups))
 
     def fits(span: Column) -> Column:
         return span["strict"] & span["passed"] | ~F.exists(
@@ -231,9 +247,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     )
     spans = F.transform(F.filter("_all", fits), lambda s: _with_votes(text, s))
     none = F.size("_all") == 0
-    return found.withColumn(
-        "_spans", F.when(none, F.array()).otherwise(spans)
-    ).drop("_text", "_all", "_base")
+    return found.select("_own", F.when(none, F.array()).otherwise(spans).alias("_spans"))
 
 
 def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> np.ndarray:
@@ -290,8 +304,8 @@ def spans(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
     The candidates are written once, so the classifier is trained on what it then judges.
     """
-    found = candidates(docs).select(*(columns or docs.columns), "_spans")
-    found = materialize(found, "candidates")
+    names, own = owned(docs, columns, ("_spans",))
+    found = materialize(candidates(docs, own), "candidates")
     weights = train(found)
 
     def wanted(s: Column) -> Column:
@@ -313,7 +327,7 @@ def spans(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
             ),
         )
     )
-    return found.withColumn("_spans", kept)
+    return found.select(*[F.col("_own")[n].alias(n) for n in names], kept.alias("_spans"))
 
 
 def listed(spans: Column) -> Column:

@@ -3,13 +3,24 @@
 Two histograms of a document, of character classes and of common words, are compared with the
 references of its language (the mean over that language's documents which are long enough and
 pass the base rules) by the Jensen-Shannon distance: the root of the divergence in bits, 0 to 1.
-A document shorter than a guard is not judged by that histogram.
 
-All of it is built-in functions. The references are five rows of some seventy numbers.
+A short text is far from any reference by chance alone. So a distance is not held against one bound but
+against what documents of the same language and length have: lengths go in classes that double, and
+each class has the median of both distances and the spread of the word distance (from its lower half,
+which poor documents do not reach), over all documents that the base rules let through. A document is
+rejected if its word distance is `word_bound` spreads beyond the median, or its class distance
+`class_excess` beyond, or both are mildly beyond. The guard of minimum lengths is twofold: texts below
+`least_chars` and `least_words` don't shape the references, and a class of lengths with fewer than
+`least_docs` documents takes the bounds of the nearest one that has them. Without any such class only
+the class distance counts, with the bound `class_distance`.
+
+All of it is built-in functions. What the driver gets are five references of some seventy numbers and
+the bounds of at most forty lengths for each.
 
 Null text has no words, so the base rules reject it. A language that is null or has no list
-of common words is compared with the reference of all such documents. Repeated rows are
-judged each on its own; an empty table gives no rows.
+of common words is compared with the reference of all such documents. Texts of any length are judged
+whole. Repeated rows are judged each on its own and count each; equal distances get equal verdicts. An empty
+table gives no rows. Other columns are kept, whatever their names, but names of the result are refused.
 """
 
 from __future__ import annotations
@@ -19,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linepulse.llm.common import SPACE_RUN, materialize, text_or_empty
+from linepulse.llm.common import SPACE_RUN, materialize, owned, text_or_empty
 
 #: Frequent words of each language.
 COMMON = {
@@ -42,15 +53,19 @@ CLASSES = {
 
 @dataclass(frozen=True)
 class Rules:
-    """A document is rejected for a class distance beyond `class_distance`, or where both
-    distances are beyond the milder bounds. The lengths are those from which a distance counts.
-    """
+    """Bounds of the distances; see the head of this module."""
 
+    word_bound: float = 4.0
+    class_excess: float = 0.20
+    mild_word_bound: float = 1.4
+    mild_class_excess: float = 0.02
     class_distance: float = 0.30
-    mild_class_distance: float = 0.13
-    mild_word_distance: float = 0.28
     least_chars: int = 200
     least_words: int = 60
+    least_docs: int = 20
+
+
+RESULTS = ("_q", "base_failed", "class_distance", "word_distance", "kept")
 
 
 def _class_count(pattern: str) -> Column:
@@ -129,14 +144,15 @@ def _shares(bins: Column) -> Column:
     return let(bins, of)
 
 
-def with_measures(docs: DataFrame) -> DataFrame:
-    """Adds the struct `_q` with the base measures and both histograms."""
+def with_measures(docs: DataFrame, own: Column | None = None) -> DataFrame:
+    """`_own` (a struct of the caller's columns) and the struct `_q` with the base measures and both histograms."""
+    docs = docs.select(
+        (F.lit(None) if own is None else own).alias("_own"), text_or_empty().alias("_text"), F.col("lang").alias("lang")
+    )
     text = F.col("_text")
     words = F.col("_words")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    split = docs.withColumn("_text", text_or_empty()).withColumn(
-        "_words", F.array_remove(F.split("_text", SPACE_RUN), "")
-    )
+    split = docs.withColumn("_words", F.array_remove(F.split("_text", SPACE_RUN), ""))
     counted = (
         split.withColumn("_lines", lines)
         .withColumn("_common", F.filter(words, lambda w: w.isin(WORDS)))
@@ -162,9 +178,7 @@ def with_measures(docs: DataFrame) -> DataFrame:
         ).alias("common"),
         F.when(F.col("lang").isin(list(COMMON)), F.col("lang")).otherwise("other").alias("lang"),
     )
-    return counted.withColumn("_q", measures).drop(
-        "_text", "_words", "_lines", "_common", "_chars", "_classes"
-    )
+    return counted.select("_own", measures.alias("_q"))
 
 
 def _base_failed() -> Column:
@@ -205,40 +219,86 @@ def js_distance(p: Column, q: list[float]) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2, F.lit(0.0)))
 
 
+def _length_class(n: Column) -> Column:
+    return F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int")
+
+
+def bounds(distances: DataFrame, rules: Rules) -> dict[str, dict[int, tuple[float, float, float]]]:
+    """By language and class of lengths: median and spread of the word distance, median class distance."""
+    q = F.col("_q")
+    quarter, half = F.percentile_approx("word_distance", F.array(F.lit(0.25), F.lit(0.5))), 0.5
+    rows = (
+        distances.where(~_base_failed() & F.col("word_distance").isNotNull())
+        .groupBy(q["lang"].alias("lang"), _length_class(q["n_words"]).alias("length"))
+        .agg(
+            quarter.alias("word"),
+            F.percentile_approx("class_distance", half).alias("class"),
+            F.count("*").alias("n"),
+        )
+        .where(F.col("n") >= rules.least_docs)
+        .collect()
+    )
+    found: dict = {}
+    for r in rows:
+        low, middle = r["word"]
+        spread = max((middle - low) / QUARTILE, 0.005)
+        found.setdefault(r["lang"], {})[r["length"]] = (middle, spread, r["class"])
+    return found
+
+
+#: Fixed value: the upper quartile of the normal distribution.
+QUARTILE = 0.6745
+#: Classes of lengths; texts have fewer than 2 ** LENGTHS words.
+LENGTHS = 40
+
+
+def _of_class(bound: dict[int, tuple[float, float, float]], k: int, length: Column) -> Column:
+    """The k-th number of a document's class of lengths, else of the nearest class."""
+    nearest = [min(bound, key=lambda at, own=own: (abs(at - own), at)) for own in range(LENGTHS)]
+    return F.get(F.array(*[F.lit(float(bound[at][k])) for at in nearest]), length)
+
+
+def _far(found: dict[str, dict[int, tuple[float, float, float]]], rules: Rules) -> Column:
+    """Is a document beyond the bounds of its language and length?"""
+    lang, length = F.col("_q")["lang"], _length_class(F.col("_q")["n_words"])
+    words, classes = F.col("word_distance"), F.col("class_distance")
+    far = classes > rules.class_distance
+    for own, bound in found.items():
+        middle, spread, usual = (_of_class(bound, k, length) for k in range(3))
+        beyond, excess = (words - middle) / spread, classes - usual
+        far = F.when(
+            lang == own,
+            (beyond > rules.word_bound)
+            | (excess > rules.class_excess)
+            | ((beyond > rules.mild_word_bound) & (excess > rules.mild_class_excess)),
+        ).otherwise(far)
+    return F.coalesce(far, F.lit(False))
+
+
 def judge(
     docs: DataFrame, rules: Rules | None = None, columns: list[str] | None = None
 ) -> DataFrame:
     """docs (or those columns) with `_q`, base_failed, class_distance, word_distance and kept.
 
-    What is asked for is written once with the measures; without the texts that is little.
-
-    A distance is null where a guard holds or where the language has no reference.
+    What is asked for is written once with the measures; without the texts that is little. A distance is
+    null where the language has no reference.
     """
     rules = rules or Rules()
-    measured = with_measures(docs)
-    measured = materialize(measured.select(*(columns or docs.columns), "_q"), "measures")
+    names, own = owned(docs, columns, RESULTS)
+    measured = materialize(with_measures(docs, own), "measures")
     refs = references(measured, rules)
-    q = F.col("_q")
+    lang = F.col("_q")["lang"]
     classes, words = F.lit(None).cast("double"), F.lit(None).cast("double")
-    for lang, (c, w) in refs.items():
-        own = q["lang"] == lang
-        classes = F.when(
-            own & (q["word_chars"] >= rules.least_chars), js_distance(q["classes"], c)
-        ).otherwise(classes)
-        words = F.when(
-            own & (q["n_words"] >= rules.least_words), js_distance(q["common"], w)
-        ).otherwise(words)
-    return (
-        measured.withColumn("base_failed", _base_failed())
-        .withColumn("class_distance", classes)
-        .withColumn("word_distance", words)
-        .withColumn("kept", ~F.col("base_failed") & ~_far(rules))
-    )
-
-
-def _far(rules: Rules) -> Column:
-    classes = F.coalesce("class_distance", F.lit(0.0))
-    words = F.coalesce("word_distance", F.lit(0.0))
-    return (classes > rules.class_distance) | (
-        (classes > rules.mild_class_distance) & (words > rules.mild_word_distance)
+    for name, (c, w) in refs.items():
+        classes = F.when(lang == name, js_distance(F.col("_q")["classes"], c)).otherwise(classes)
+        words = F.when(lang == name, js_distance(F.col("_q")["common"], w)).otherwise(words)
+    distances = measured.withColumn("class_distance", classes).withColumn("word_distance", words)
+    far = _far(bounds(distances, rules), rules)
+    return distances.select(
+        *[F.col("_own")[n].alias(n) for n in names],
+        "_q",
+        _base_failed().alias("base_failed"),
+        "class_distance",
+        "word_distance",
+        (~_base_failed() & ~far).alias("kept"),
     )

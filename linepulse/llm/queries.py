@@ -77,6 +77,7 @@ def op3_pii(spark, d):
         *[number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:4])],
         F.sha2(pii.listed(base), 256).alias("base_sha256"),
         pii.listed(F.col("_spans")).alias("spans"),
+        F.size("_spans").cast("bigint").alias("n_spans"),
     )
 
 

@@ -181,6 +181,97 @@ def test_quality_keeps_prose_and_rejects_marks(spark):
     assert kept == set(range(60))
 
 
+def spoilt(rng, text):
+    """Marks and digits inside the words of a text."""
+    return " ".join(w + rng.choice(["##", "$$", "7%", "|1"]) if rng.random() < 0.6 else w[::-1] for w in text.split())
+
+
+def language_docs(rng, sizes, bad):
+    common = {lang: words for lang, words in quality.COMMON.items() if lang in ("en", "de")}
+    rows = []
+    for k, n in enumerate(sizes):
+        lang = ["en", "de"][k % 2]
+        rare = ["".join(rng.choices(["th", "er", "on", "an", "ei", "ch"], k=rng.randint(2, 4))) for _ in range(n)]
+        text = " ".join(rng.choice(common[lang]) if rng.random() < 0.45 else w for w in rare)
+        rows.append((k, spoilt(rng, text) if k in bad else text, lang))
+    return rows
+
+
+def test_quality_verdicts_match_a_plain_computation(spark):
+    rng = random.Random(21)
+    sizes = [rng.randint(22, 700) for _ in range(160)]
+    rows = language_docs(rng, sizes, set(range(0, 160, 13)))
+    rules = quality.Rules(least_docs=6)
+    found = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rules).collect()
+
+    def distance(p, q):
+        p, q = np.array(p), np.array(q)
+        m = (p + q) / 2
+        half = lambda a: np.where(a > 0, a * np.log2(np.where(a > 0, a / np.where(m > 0, m, 1), 1)), 0).sum()
+        return float(np.sqrt(max((half(p) + half(q)) / 2, 0)))
+
+    for lang in ("en", "de"):
+        own = [r for r in found if r["lang"] == lang]
+        fit = [r["_q"] for r in own if not r["base_failed"] and r["_q"]["n_words"] >= 60 and r["_q"]["word_chars"] >= 200]
+        refs = [np.mean([q[k] for q in fit], axis=0) for k in ("classes", "common")]
+        by_class = collections.defaultdict(list)
+        for r in own:
+            pair = [distance(r["_q"][k], ref) for k, ref in zip(("classes", "common"), refs)]
+            assert (r["class_distance"], r["word_distance"]) == pytest.approx(tuple(pair), abs=1e-9)
+            if not r["base_failed"]:
+                by_class[int(math.log2(r["_q"]["n_words"]))].append(pair)
+        bound = {}
+        for k, pairs in by_class.items():
+            if len(pairs) >= 6:
+                at = lambda values, share: sorted(values)[math.ceil(share * len(values)) - 1]
+                words, classes = [w for _, w in pairs], [c for c, _ in pairs]
+                middle = at(words, 0.5)
+                bound[k] = middle, max((middle - at(words, 0.25)) / 0.6745, 0.005), at(classes, 0.5)
+        assert len(bound) > 2
+        for r in own:
+            length = int(math.log2(r["_q"]["n_words"]))
+            middle, spread, usual = bound[min(bound, key=lambda k: (abs(k - length), k))]
+            beyond, excess = (r["word_distance"] - middle) / spread, r["class_distance"] - usual
+            far = beyond > 4 or excess > 0.2 or (beyond > 1.4 and excess > 0.02)
+            assert r["kept"] == (not r["base_failed"] and not far)
+
+
+def test_poor_short_documents_are_rejected(spark):
+    """Without a switch by length: documents of 20 to 59 words are judged too, sound ones stay."""
+    rng = random.Random(3)
+    sizes = [rng.choice([25, 40, 55, 90, 150, 300, 600]) for _ in range(700)]
+    bad = set(range(0, 700, 25))
+    found = by_id(quality.judge(spark.createDataFrame(language_docs(rng, sizes, bad), "doc_id long, text string, lang string")))
+    short = [k for k in found if sizes[k] < 60]
+    assert sum(not found[k]["kept"] for k in short if k in bad) >= 0.8 * len([k for k in short if k in bad])
+    assert sum(found[k]["kept"] for k in found if k not in bad) >= 0.97 * (700 - len(bad))
+    assert not any(found[k]["kept"] for k in bad if sizes[k] >= 150)
+
+
+def test_words_of_another_language_are_far(spark):
+    rng = random.Random(5)
+    rows = language_docs(rng, [300] * 120, set())
+    wrong = [(k, t, "en" if lang == "de" else "de") if k < 4 else (k, t, lang) for k, t, lang in rows]
+    kept = {r["doc_id"] for r in quality.judge(spark.createDataFrame(wrong, "doc_id long, text string, lang string")).where("kept").collect()}
+    assert not kept & {0, 1, 2, 3} and len(kept) > 110
+
+
+def test_clashing_columns(spark):
+    """Columns with names that the operators use inside come back; names of their results are refused."""
+    text = "the of and to in is that it for was " * 5 + "mail a.b@example.org"
+    inside = "_own string, _text string, _words string, _all string, _base string, _chars int, lang string"
+    df = spark.createDataFrame([(1, text, *"oxwab", 7, "en")], f"doc_id long, text string, {inside}")
+    for made in (quality.judge(df), pii.spans(df)):
+        row = made.collect()[0]
+        assert [row[c] for c in df.columns] == list(df.collect()[0])
+    for column in ("_q", "kept", "Base_Failed"):
+        with pytest.raises(ValueError, match="names of the result"):
+            quality.judge(df.withColumn(column, F.lit(1)))
+        assert quality.judge(df.withColumn(column, F.lit(1)), columns=["doc_id"]).count() == 1
+    with pytest.raises(ValueError, match="_spans"):
+        pii.spans(df.withColumn("_spans", F.lit(1)))
+
+
 # --- 3 ------------------------------------------------------------------------------
 
 PATTERNS = {
@@ -236,7 +327,7 @@ def test_looser_spans_of_other_forms(spark):
         ("password=a.b@example.org", "secret", None), ("password=a.b@example.org", "email", "a.b@example.org"),
     ]
     df = spark.createDataFrame([(k, c[0]) for k, c in enumerate(cases)], "doc_id long, text string")
-    rows = by_id(pii.candidates(df).select("doc_id", pii.listed(F.col("_spans")).alias("s")))
+    rows = by_id(pii.candidates(df, F.col("doc_id")).select(F.col("_own").alias("doc_id"), pii.listed(F.col("_spans")).alias("s")))
     for k, (text, kind, part) in enumerate(cases):
         start = text.index(part) if part else 0
         assert f"{kind}:{start}:{start + len(part or text)}" in rows[k]["s"].split(","), (text, rows[k]["s"])
@@ -244,6 +335,16 @@ def test_looser_spans_of_other_forms(spark):
     assert pii.spans(few).where(F.size("_spans") == 0).count() == 0
 
 
+def test_long_names_and_addresses_are_whole(spark):
+    name, box = "A" + "b" * 20_000, "x" * 3000
+    cases = [(f"Herr {name} kam", f"person:0:{5 + len(name)}"), (f"to {box} [at] example [dot] org.", f"email:3:{3 + len(box) + 23}")]
+    cases += [("Frau " + "-".join(["Li"] * 3000), f"person:0:{5 + 3 * 3000 - 1}"), ("then Françoise went", "person:5:14")]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id long, text string")
+    rows = by_id(pii.candidates(df, F.col("doc_id")).select(F.col("_own").alias("doc_id"), pii.listed(F.col("_spans")).alias("s")))
+    for k, (_, want) in enumerate(cases):
+        assert want in rows[k]["s"].split(","), rows[k]["s"][:200]
+
+
 def test_masking(spark):
     df = spark.createDataFrame([(1, "x 😀 a@b.co, +1 555 010 9999!"), (2, None), (3, "plain")], "doc_id long, text string")
     found = pii.spans(df)
