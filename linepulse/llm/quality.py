@@ -11,7 +11,7 @@ which poor documents do not reach), over all documents that the base rules let t
 rejected if its word distance is `word_bound` spreads beyond the median, or its class distance
 `class_excess` beyond, or both are mildly beyond. The guard of minimum lengths is twofold: texts below
 `least_chars` and `least_words` don't shape the references, and a class of lengths with fewer than
-`least_docs` documents takes the bounds of the nearest one that has them. Without any such class only
+`least_docs` documents takes the bounds of the nearest one that has them, widened if that is longer. Without any such class only
 the class distance counts, with the bound `class_distance`.
 
 All of it is built-in functions. What the driver gets are five references of some seventy numbers and
@@ -253,9 +253,14 @@ LENGTHS = 40
 
 
 def _of_class(bound: dict[int, tuple[float, float, float]], k: int, length: Column) -> Column:
-    """The k-th number of a document's class of lengths, else of the nearest class."""
+    """The k-th number of a document's class of lengths, else of the nearest class.
+
+    The chance part of a distance goes with the inverse root of the length, so what a shorter class
+    takes of the word distance is widened by the root of two for each halving.
+    """
     nearest = [min(bound, key=lambda at, own=own: (abs(at - own), at)) for own in range(LENGTHS)]
-    return F.get(F.array(*[F.lit(float(bound[at][k])) for at in nearest]), length)
+    wider = [2 ** (max(0, at - own) / 2) if k < 2 else 1.0 for own, at in enumerate(nearest)]
+    return F.get(F.array(*[F.lit(bound[at][k] * w) for at, w in zip(nearest, wider, strict=True)]), length)
 
 
 def _far(found: dict[str, dict[int, tuple[float, float, float]]], rules: Rules) -> Column:

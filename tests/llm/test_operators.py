@@ -230,7 +230,9 @@ def test_quality_verdicts_match_a_plain_computation(spark):
         assert len(bound) > 2
         for r in own:
             length = int(math.log2(r["_q"]["n_words"]))
-            middle, spread, usual = bound[min(bound, key=lambda k: (abs(k - length), k))]
+            nearest = min(bound, key=lambda k: (abs(k - length), k))
+            middle, spread, usual = bound[nearest]
+            middle, spread = (x * 2 ** (max(0, nearest - length) / 2) for x in (middle, spread))
             beyond, excess = (r["word_distance"] - middle) / spread, r["class_distance"] - usual
             far = beyond > 4 or excess > 0.2 or (beyond > 1.4 and excess > 0.02)
             assert r["kept"] == (not r["base_failed"] and not far)
