@@ -212,6 +212,37 @@ def from_json(messages: DataFrame, kpi: str, value: str = "value") -> DataFrame:
     return stored(rows.select("r.*").withColumnRenamed("machineId_side", "machineid_side"), kpi)
 
 
+def messages(kpi_rows: DataFrame, kpis: Sequence[str] = ("fpy", "ffr")) -> DataFrame:
+    """JSON records of several indicators that were computed in one pass: one for each row and indicator."""
+    shared = [c for c in kpi_rows.columns if c not in {f"{k}_result" for k in kpis}]
+    records = [F.to_json(F.struct(*shared, f"{k}_result")) for k in kpis]
+    return kpi_rows.select(F.explode(F.array(*records)).alias("value"))
+
+
+def from_json_all(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Stored rows of all indicators from one topic, with ``kpi``; each record is parsed once.
+
+    Records of no known indicator are left out.
+    """
+    names = ("fpy", "ffr", "volume")
+    schema = (
+        "generated_key string, interval_id bigint, pcb_name string, "
+        + "".join(f"{k}_result double, " for k in names)
+        + "min_inspection_end_time timestamp, max_inspection_end_time timestamp, machineId_side string, "
+        "bicoe_load_dttm timestamp, machine_id string, pcb_side string"
+    )
+    kind = kpi_of(F.col(value))
+    both = F.struct(kind.alias("kpi"), F.from_json(value, schema).alias("r"))
+    # an exploded array of one: what reads the fields stays above the parser
+    parsed = messages.filter(kind.isNotNull()).select(F.explode(F.array(both)).alias("p")).select("p.kpi", "p.r.*")
+    result = None
+    for k in names:
+        own = F.when(F.col("kpi") == k, F.col(f"{k}_result"))
+        result = own if result is None else F.coalesce(result, own)
+    rows = parsed.withColumn("result", result).withColumnRenamed("machineId_side", "machineid_side")
+    return rows.select("kpi", *KPI_COLUMNS)
+
+
 def interval_yields(inspections: DataFrame, minutes: int = 15) -> DataFrame:
     """Ratios per machine, side and interval of event time; works on streams and tables.
 

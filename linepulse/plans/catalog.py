@@ -104,18 +104,8 @@ def distinct_machines(spark, d):
 @query
 def kpi_routing(spark, d):
     """KPI records of one topic, told apart by their content."""
-    inspections = view(spark, d, "header")
-    both = [
-        topics.as_messages(rows)
-        for rows in (kpi.fpy(inspections, DAY), kpi.ffr(inspections, DAY))
-    ]
-    messages = both[0].unionByName(both[1])
-    parts = [
-        kpi.from_json(messages, name).withColumn("kpi", F.lit(name))
-        for name in ("fpy", "ffr", "volume")
-    ]
-    union = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return union.groupBy("kpi", "machine_id", "pcb_side").agg(
+    messages = kpi.messages(kpi.yields(view(spark, d, "header"), as_of=DAY))
+    return kpi.from_json_all(messages).groupBy("kpi", "machine_id", "pcb_side").agg(
         F.count("*").alias("row_count"), F.round(F.max("result"), 6).alias("result")
     )
 
@@ -490,7 +480,7 @@ def _spi_message() -> Column:
     key = F.col("o_orderkey").cast("string")
     return F.concat(
         F.lit('<ArrayOfLiveTextData filename="f'), F.col("o_custkey").cast("string"), F.lit('.txt">'),
-        F.lit("<LiveTextData><TagName>c1-smt-twb-spiTest-header</TagName><Status>Good</Status><TagId>"),
+        F.lit("<LiveTextData><TagName>c1-smt-sng-spiTest-header</TagName><Status>Good</Status><TagId>"),
         F.col("o_custkey").cast("string"),
         F.lit("</TagId><TimeStamp>t1</TimeStamp>"),
         F.lit('<TagValue fieldnames="GeneratedKey,MachineID,PCBResult,InspectionEndTime" '
@@ -498,7 +488,7 @@ def _spi_message() -> Column:
         key, F.lit(",M1, "), F.col("o_orderpriority"), F.lit(" ,"),
         F.date_format(F.col("o_orderdate").cast("timestamp"), times.SPI_24H),
         F.lit("</TagValue></LiveTextData>"),
-        F.lit("<LiveTextData><TagName>c1-smt-twb-spiTest-detail</TagName><Status>Good</Status><TagId>2"
+        F.lit("<LiveTextData><TagName>c1-smt-sng-spiTest-detail</TagName><Status>Good</Status><TagId>2"
               "</TagId><TimeStamp>t2</TimeStamp>"),
         F.lit('<TagValue fieldnames="GeneratedKey,ModuleNo,Volume,RefDesignator" '
               'fieldtypes="String,Int,Double,String" separator="\\|">'),
@@ -554,7 +544,7 @@ def _odd_message() -> Column:
     """Messages with one fault each, by order number."""
     case = F.col("o_orderkey") % 6
     key = F.col("o_orderkey").cast("string")
-    head = ('<ArrayOfLiveTextData filename="f"><LiveTextData><TagName>c1-smt-twb-units</TagName>'
+    head = ('<ArrayOfLiveTextData filename="f"><LiveTextData><TagName>c1-smt-sng-units</TagName>'
             '<Status>Good</Status><TagId>1</TagId><TimeStamp>t</TimeStamp>')
     tail = F.lit("</TagValue></LiveTextData></ArrayOfLiveTextData>")
 
@@ -729,7 +719,7 @@ def payload_cost(spark, d):
     """The cost table, read from the text of its request bodies."""
     cost = tables.material_cost(view(spark, d, "material_cost_raw"))
     bodies = payloads.payloads(
-        cost, ["material", "plant"], 100, service=payloads.COST_SERVICE, envelope=True, buckets=8
+        cost, ["material", "plant"], 100, service=payloads.COST_SERVICE, envelope=True
     )
     rows = F.from_json(
         F.get_json_object("payload", "$.inputJson"),
@@ -1039,7 +1029,7 @@ def xml_landed_all(spark, d):
 @query
 def stream_push(spark, d):
     """Landed rows of the nine tables with a service, read from the text of their request bodies."""
-    bodies = spark.read.parquet(f"{_full_ingest(spark, d, push=50, buckets=16)}/payloads")
+    bodies = spark.read.parquet(f"{_full_ingest(spark, d, push=50)}/payloads")
     each = F.explode(F.from_json(F.get_json_object("payload", "$.inputJson"), "array<map<string,string>>"))
     rows = bodies.select("service", (F.col("row_count") <= 50).alias("bounded"), each.alias("m"))
     union = None
@@ -1067,7 +1057,7 @@ def stream_enriched(spark, d):
     parts = (
         equipment.select(
             message(
-                "c1-smt-twb-machine",
+                "c1-smt-sng-machine",
                 MachineName="machine_name",
                 EquipmentMake="equipment_make",
                 Head1="head_1",
@@ -1076,7 +1066,7 @@ def stream_enriched(spark, d):
         ),
         orders.select(
             message(
-                "c1-smt-twb-wodetail",
+                "c1-smt-sng-wodetail",
                 OptelScheduleWO="optel_schedule_wo",
                 SAPWO="sap_wo",
                 Side="side",
@@ -1152,7 +1142,6 @@ def _wide_stream(spark, d) -> str:
             topic="wide",
             service="wide_service",
             size=100,
-            buckets=8,
         ).awaitTermination()
     return f"{root}/out"
 

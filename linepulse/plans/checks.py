@@ -506,14 +506,14 @@ _enriched(
 
 CHECKS["xml_roundtrip"] = """
     WITH o AS (SELECT *, CAST(o_orderkey AS STRING) AS k, CAST(o_custkey AS STRING) AS c FROM orders)
-    SELECT 'c1-smt-twb-spiTest-header' AS xml_tag_name, concat('f', c, '.txt') AS file_name,
+    SELECT 'c1-smt-sng-spiTest-header' AS xml_tag_name, concat('f', c, '.txt') AS file_name,
            c AS xml_tag_id, 't1' AS file_timestamp, '2024-01-01T00:00:00.000Z' AS bicoe_load_dttm,
            k AS first_value, o_orderpriority AS third_value, 4 AS value_count, 0 AS bad_count FROM o
     UNION ALL
-    SELECT 'c1-smt-twb-spiTest-detail', concat('f', c, '.txt'), '2', 't2', '2024-01-01T00:00:00.000Z',
+    SELECT 'c1-smt-sng-spiTest-detail', concat('f', c, '.txt'), '2', 't2', '2024-01-01T00:00:00.000Z',
            k, CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS STRING), 4, 0 FROM o
     UNION ALL
-    SELECT 'c1-smt-twb-spiTest-detail', concat('f', c, '.txt'), '2', 't2', '2024-01-01T00:00:00.000Z',
+    SELECT 'c1-smt-sng-spiTest-detail', concat('f', c, '.txt'), '2', 't2', '2024-01-01T00:00:00.000Z',
            k, c, 4, 0 FROM o"""
 _LINES = """
     SELECT CAST(o_orderkey AS STRING) AS generated_key, 1 AS module_nbr, 'R1' AS ref_designator,

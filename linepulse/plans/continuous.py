@@ -21,6 +21,7 @@ from linepulse.plans.catalog import (
     _record_messages,
     _round,
     _spans,
+    _spi_records,
     _timer_messages,
     _WIDE_SCHEMA,
     query,
@@ -28,7 +29,9 @@ from linepulse.plans.catalog import (
 from linepulse.plans.views import table, view
 from linepulse.registry import ROUTES
 from linepulse.session import delete_folder, fresh_path
-from linepulse.sources import inferred, records, tables
+from linepulse.sinks import payloads
+from linepulse.sinks.files import append_parquet
+from linepulse.sources import envelope, inferred, records, tables
 from linepulse.streaming import events as event_stream
 from linepulse.streaming import kpi as kpi_stream
 from linepulse.streaming import progress
@@ -309,7 +312,7 @@ def stream_cost_refresh(spark, d):
 
     def each(batch: DataFrame, batch_id: int) -> None:
         made = enrich.slot(batch, now["equipment"], now["comptype"], now["wodetail"], cost(batch.sparkSession))
-        event_stream.append_parquet(made.withColumn("n", F.lit(int(batch_id))), f"{root}/out", batch_id)
+        append_parquet(made.withColumn("n", F.lit(int(batch_id))), f"{root}/out", batch_id)
 
     prices.write.parquet(f"{root}/cost")
     rows, done = view(spark, d, "slot_events"), []
@@ -339,3 +342,59 @@ def row_count_footers(spark, d):
     """Rows of all tables, from the footers of their files."""
     names = {name: tables.footer_table(spark, f"{str(d).rstrip('/')}/{name}.parquet") for name in _COUNTED}
     return report.row_counts(names)
+
+
+@query
+def record_ids(spark, d):
+    """Ids of parsed records, computed and as their JSON carries them; the same when read again."""
+    good = envelope.records(_spi_records(spark, d))
+    carried = F.get_json_object(envelope.record_json(with_uuid=True), "$.uuid")
+    return good.select(
+        "xml_tag_name",
+        F.get("field_values", F.lit(0)).alias("generated_key"),
+        F.get("field_values", F.lit(1)).alias("second_value"),
+        envelope.record_id().alias("record_id"),
+        carried.alias("carried_id"),
+    )
+
+
+@query
+def slot_enriched_xref(spark, d):
+    """Slot events whose tag names the plant of their machine."""
+    now = _lookups(spark, d, "equipment", "comptype", "wodetail")
+    cost = tables.material_cost(view(spark, d, "material_cost_raw"))
+    rows = view(spark, d, "slot_events")
+    return enrich.slot(
+        rows, now["equipment"], now["comptype"], now["wodetail"], cost, tables.xref(view(spark, d, "xref_raw"))
+    )
+
+
+@query
+def stream_rate_limit(spark, d):
+    """Files of a stream taken two at a time: rows of each batch."""
+    root = fresh_path(spark, "rate")
+    rows = table(spark, d, "customer").select(F.col("c_name").alias("value"), F.col("c_custkey").alias("n"))
+    for number in range(5):
+        rows.filter(F.col("n") % 5 == number).select("value").coalesce(1).write.text(f"{root}/in/{number}")
+    stream = records.file_values(spark, f"{root}/in/*", max_files=2, whole=False)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        append_parquet(batch.withColumn("n", F.lit(int(batch_id))), f"{root}/out", batch_id)
+
+    start(stream, each, f"{root}/checkpoint").awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    return out.groupBy("n").agg(F.count("*").alias("row_count"), F.min("value").alias("first_name"))
+
+
+@query
+def payload_equal_rows(spark, d):
+    """Rows that are all alike, as request bodies: none lost, no bucket with much more than its share."""
+    rows = table(spark, d, "lineitem").select(F.lit("same").alias("a"), F.lit(1).alias("b"))
+    bodies = payloads.text_payloads(rows, 10, F.to_json(F.struct("a", "b")), "equal", buckets=16)
+    sizes = bodies.groupBy("bucket").agg(F.sum("row_count").alias("rows"), F.max("row_count").alias("most"))
+    return sizes.agg(
+        F.sum("rows").alias("row_count"),
+        F.count("*").alias("buckets"),
+        (F.max("rows") < 2 * F.sum("rows") / 16).alias("even"),
+        (F.max("most") <= 10).alias("bounded"),
+    )

@@ -8,10 +8,12 @@ from linepulse.plans.checks import (
     _LANDED_TIMERS,
     _P1,
     _P2,
+    _EQUIP,
     _SLOT,
     _STREAM_WIDE,
     _WC_MACHINE,
     _WC_SIDE,
+    _XREF,
     _WIDE_VIEWS,
     CHECKS,
     _check,
@@ -189,3 +191,31 @@ _enriched(
 )
 CHECKS["timers_salted"] = CHECKS["timers_enriched"]
 CHECKS["row_count_footers"] = CHECKS["row_count_report"]
+
+
+def _ids(tag: str, tag_id: str, stamp: str, second: str, raw: str) -> str:
+    return f"""
+    SELECT 'c1-smt-sng-spiTest-{tag}' AS xml_tag_name, CAST(o_orderkey AS VARCHAR) AS generated_key,
+           {second} AS second_value,
+           sha256(concat_ws(chr(1), concat('f', o_custkey, '.txt'), 'c1-smt-sng-spiTest-{tag}', {tag_id}, '{stamp}', {raw}))
+             AS record_id
+    FROM orders"""
+
+
+_IDS = " UNION ALL ".join(
+    (
+        _ids(
+            "header", "CAST(o_custkey AS VARCHAR)", "t1", "'M1'",
+            "concat(o_orderkey, ',M1, ', o_orderpriority, ' ,', strftime(o_orderdate, '%m/%d/%Y %H:%M:%S'))",
+        ),
+        _ids("detail", "'2'", "t2", "'1'", "concat(o_orderkey, '|1|', CAST(o_totalprice AS DECIMAL(12, 2)), '|R1')"),
+        _ids("detail", "'2'", "t2", "'2'", "concat(o_orderkey, '|2|', o_custkey, '|R2|long')"),
+    )
+)
+CHECKS["record_ids"] = f"SELECT *, record_id AS carried_id FROM ({_IDS})"
+_enriched("slot_enriched_xref", _SLOT.replace(_EQUIP, _XREF), "slot_events", "material_cost_raw", "xref_raw")
+CHECKS["stream_rate_limit"] = """
+    SELECT CAST((c_custkey % 5) // 2 AS INT) AS n, count(*) AS row_count, min(c_name) AS first_name
+    FROM customer GROUP BY ALL"""
+CHECKS["payload_equal_rows"] = """
+    SELECT count(*) AS row_count, 16 AS buckets, true AS even, true AS bounded FROM lineitem"""

@@ -25,8 +25,8 @@ def _tag(kind: str) -> str:
 
 
 def _tag_case() -> str:
-    tags = [f"c1-smt-twb{r if r.startswith('-') else '-' + r}" for r in ROUTES.values()]
-    tags += ["c1-smt-twb-unknown", "c1-smt-meq-other"]
+    tags = [f"c1-smt-sng{r if r.startswith('-') else '-' + r}" for r in ROUTES.values()]
+    tags += ["c1-smt-sng-unknown", "c1-smt-meq-other"]
     arms = " ".join(f"WHEN {i} THEN '{tag}'" for i, tag in enumerate(tags))
     return f"CASE l_partkey % {len(tags)} {arms} END"
 

@@ -98,6 +98,12 @@ def text_payloads(
     envelope: bool = False,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Payloads of rows without a key: their texts tell them apart, equal texts are all kept."""
-    texts = df.select(body.alias("row_text"))
-    return payloads(texts, ["row_text"], size, F.col("row_text"), service, None, envelope, buckets)
+    """Payloads of rows without a key; equal texts are all kept.
+
+    Rows are spread by their text and their place in their task, so rows that are all alike still fill
+    all buckets.
+    """
+    texts = df.select(body.alias("row_text"), F.monotonically_increasing_id().alias("place"))
+    number = bucket_count(df, size) if buckets is None else F.lit(buckets).cast("bigint")
+    bucket = F.pmod(F.xxhash64("row_text", "place"), number)
+    return payloads(texts, ["row_text"], size, F.col("row_text"), service, bucket, envelope)

@@ -27,12 +27,16 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
     """The id of the run that a checkpoint belongs to; it is kept in the checkpoint."""
     path = f"{checkpoint.rstrip('/')}/run"
     try:
-        return spark.read.text(path).first()[0]
+        written = spark.read.text(path).first()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        written = None
+    if written is not None:
+        return written[0]
     run = uuid.uuid4().hex[:12]
-    spark.createDataFrame([(run,)], "value string").coalesce(1).write.text(path)
+    # a folder without its file is what a start that died has left
+    spark.createDataFrame([(run,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return run
 
 
