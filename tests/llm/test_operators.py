@@ -601,10 +601,12 @@ def test_suffix_order():
 def test_common_prefixes():
     rng = random.Random(6)
     text = bytes(rng.choices(b"ab", k=60)) * 2 + b"\xff"
-    for _ in range(300):
-        p, q, most = rng.randrange(60), rng.randrange(60), rng.choice([1, 2, 7, 30])
-        want = next((k for k in range(most) if text[p + k] != text[q + k]), most)
-        assert repeats.common_prefix(text, p, q, most) == want
+    for most in (1, 2, 7, 8, 9, 30, 60):
+        order = np.array([rng.randrange(len(text) - most) for _ in range(300)])
+        found = repeats.common_prefixes(text, order, most)
+        for p, q, n in zip(order[:-1].tolist(), order[1:].tolist(), found.tolist(), strict=True):
+            assert n == next((k for k in range(most) if text[p + k] != text[q + k]), most)
+    assert len(repeats.common_prefixes(text, np.array([3]), 5)) == 0
 
 
 def test_passages_around_the_length(spark, monkeypatch):
