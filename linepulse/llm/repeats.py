@@ -174,7 +174,8 @@ def common_prefixes(text: bytes, order: np.ndarray, most: int) -> np.ndarray:
         differ = eight[np.minimum(one[alike] + at, len(text) - 1)] ^ eight[np.minimum(other[alike] + at, len(text) - 1)]
         ends = differ != 0
         low = differ[ends]
-        out[alike[ends]] = at + (np.bitwise_count((low & (~low + np.uint64(1))) - np.uint64(1)) >> 3)
+        zeros = np.bitwise_count((low & (~low + np.uint64(1))) - np.uint64(1))  # below the lowest bit that differs
+        out[alike[ends]] = at + (zeros.astype(np.int64) >> 3)
         alike = alike[~ends]
     return np.minimum(out, most)
 
