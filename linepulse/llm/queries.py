@@ -94,6 +94,34 @@ def op4_decontamination(spark, d):
     )
 
 
+#: Words of a text, as the contract has them.
+_WORDS = r"""regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+CHECKS["op4_decontamination"] = f"""
+WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+needed AS (
+    SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM (SELECT item, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+          FROM items WHERE len(w) > 0)),
+there AS (
+    SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+          FROM words, (SELECT DISTINCT k FROM needed) WHERE len(w) >= k)),
+found AS (SELECT doc_id, i, k, item FROM there JOIN needed USING (k, g)),
+hits AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY doc_id),
+which AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN which USING (doc_id)
+"""
+
+
 @query
 def op5_suffix_tree(spark, d):
     found = suffix_tree.score(table(spark, d, "documents"), learn=_rest(5) != 1)
@@ -113,6 +141,35 @@ def op7_repeats(spark, d):
     return found.withColumn("kept_sha256", digest).withColumn("repeated", repeated).drop("kept")
 
 
+#: Bytes as hexadecimal digits; windows are cut from parts, as places far into a long text are slow to find.
+CHECKS["op7_repeats"] = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT doc_id, h, length(h) // 2 AS n FROM docs),
+parts AS (
+    SELECT doc_id, n, base, substr(h, 2 * base + 1, 1598) AS p
+    FROM (SELECT doc_id, h, n, unnest(range(0, n - 399, 400)) AS base FROM sized WHERE n >= 400)),
+windows AS (
+    SELECT doc_id, base + j AS i, md5(substr(p, 2 * j + 1, 800)) AS m
+    FROM (SELECT doc_id, base, p, unnest(range(0, least(400, n - 399 - base))) AS j FROM parts)),
+again AS (SELECT doc_id, i FROM windows WHERE m IN (SELECT m FROM windows GROUP BY m HAVING count(*) > 1)),
+runs AS (
+    SELECT doc_id, min(i) AS a, max(i) + 400 AS b
+    FROM (SELECT doc_id, i, sum(CASE WHEN i - before <= 400 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+          FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM again))
+    GROUP BY doc_id, run),
+kept AS (
+    SELECT doc_id, h, n, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS start, a AS stop
+    FROM (SELECT doc_id, h, n, a, b FROM sized JOIN runs USING (doc_id) UNION ALL SELECT doc_id, h, n, n, n FROM sized))
+SELECT doc_id, n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans, kept_sha256,
+    coalesce(removed, 0) > 0 AS repeated
+FROM (SELECT doc_id, any_value(n) AS n,
+          sha256(unhex(string_agg(substr(h, 2 * start + 1, 2 * (stop - start)), '' ORDER BY start))) AS kept_sha256
+      FROM kept GROUP BY doc_id)
+LEFT JOIN (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS removed, count(*) AS spans FROM runs GROUP BY doc_id)
+    USING (doc_id)
+"""
+
+
 @query
 def op8_classifier(spark, d):
     found = classifier.score(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from linepulse.llm import align, chat, structure
-from linepulse.llm.queries import QUERIES
+from linepulse.llm.queries import CHECKS, QUERIES
 
 ODD = [None, "", " ", "<|", "<|im_end|>", "<\\|im_end|>\n", "<\\\\|x", "a<", "|b", "<<|\\|", "é😀<|image|>", "x" * 50_000]
 CLASH = "formatted string, mask int, `_pieces` string, `rows` int, flat int, `present` int, slice int"
@@ -311,3 +311,14 @@ def test_merge_counts_in_order(monkeypatch):
     assert list(align._merged(frames)) == total
     codes, counts = align._whole(align._run_of(iter(total)))
     assert list(zip(codes.tolist(), counts.tolist(), strict=True)) == total
+
+
+# --- queries with SQL ---------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", sorted(CHECKS))
+def test_query_equals_its_sql(spark, name):
+    from compare import database, same
+
+    folder = "/root/testdata/sf0.001"
+    assert same(spark, database(folder), QUERIES[name], CHECKS[name], folder) == ""
