@@ -4,8 +4,11 @@ Features are hashed unigrams and bigrams of the words and marks of a text, and n
 shapes (case, digit, mark, and whether a word repeats the one before). A document is the unit
 vector of their counts, and its score the logistic function of a sparse dot product.
 
-The model is fitted to at most about `most_rows` labelled documents, chosen by a hash of doc_id;
-that is the only sample. All documents are scored, over their whole texts.
+The model is fitted to at most about `most_rows` labelled documents, chosen by a hash of doc_id, whose whole
+texts are learnt from in several rounds; of those whose vectors are beyond `most_bytes` together, the later
+ones are learnt from in the first round only. That is the only sample. All documents are scored, over
+their whole texts; a vector has no more places than the model. Equal scores are equal vectors. An empty table
+gives no rows. Other columns, whatever their names, are ignored.
 
 Null and empty texts have only the constant feature, so their score is that of the constant.
 Repeated label rows count once (the least quality). Without labelled rows every score is 0.5.
@@ -26,8 +29,8 @@ BITS = 18
 #: Shape n-grams lie beyond the hashed words, the constant is last.
 SHAPES = 16
 SIZE = (1 << BITS) + SHAPES**3 + 1
-#: Labelled documents that the model is fitted to, about.
-MOST_ROWS = 8000
+#: Labelled documents that the model is fitted to, about, and bytes of their vectors that are kept.
+MOST_ROWS, MOST_BYTES = 8000, 256_000_000
 #: Words a worker remembers.
 REMEMBERED = 300_000
 
@@ -95,7 +98,7 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, rounds: int = 3):
+def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, rounds: int = 3, most_bytes: int = MOST_BYTES):
     """Weights of all places. docs: doc_id, text; labels: doc_id, quality (rows to learn from)."""
     labelled = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
@@ -121,11 +124,14 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, rounds
             yield out
 
     def learn(batches):
-        model, held = Ftrl(), []
+        model, held, kept = Ftrl(), [], 0
         for batch in batches:
             for y, at, x in zip(batch["quality"], batch["place"], batch["value"], strict=True):
-                held.append((y, np.array(at, np.int32), np.frombuffer(x, "<f4")))
-                model.learn(held[-1][1], held[-1][2].astype(float), y)
+                at, x = np.array(at, np.int32), np.frombuffer(x, "<f4")
+                model.learn(at, x.astype(float), y)
+                kept += at.nbytes + x.nbytes
+                if kept <= most_bytes:
+                    held.append((y, at, x))
         for _ in range(rounds - 1):
             for y, at, x in held:
                 model.learn(at, x.astype(float), y)

@@ -758,6 +758,124 @@ def test_urls_judges_branches_of_deep_paths(spark):
     assert {len(r["template"].split("/")) for r in rows} == {13}
 
 
+# --- methods by hand ----------------------------------------------------------------
+
+
+def test_best_run_of_a_page_by_all_runs(spark):
+    """The linear scan finds the run that a search over all runs finds."""
+    rng = random.Random(31)
+    pages = [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").limit(12).collect()]
+    pages.append("<div>a b<p>c d e</p><nav>x y z</nav><p>f</p></div>")
+    for page in pages:
+        found = list(html.tokens(page))
+        names = {t[1] for t in found}
+        weights = {n: rng.uniform(0.2, 1.5) if n.startswith("word ") else rng.uniform(-3, -0.1) for n in sorted(names)}
+        scores = []
+        for kind, name, text, _, out in found:
+            if kind == "tag":
+                scores.append(html.TAG if out else weights[name])
+            else:
+                scores.append(0.0 if out else weights[name] * len(text.split()))
+        sums = np.concatenate([[0.0], np.cumsum(scores)])
+        runs = sums[None, :] - sums[:, None]
+        runs[np.tril_indices(len(sums))] = -np.inf
+        a, b = np.unravel_index(runs.argmax(), runs.shape)
+        words = [w for kind, _, text, _, out in found[a:b] if kind == "text" and not out for w in text.split()]
+        got = html.extract(page, weights)
+        assert "".join(got.split()) == "".join("".join(html.entities.unescape(w).split()) for w in words)
+
+
+def test_ftrl_by_places():
+    """One place after the other, as the published update says."""
+    rng = np.random.default_rng(4)
+    model, z, n = classifier.Ftrl(), collections.defaultdict(float), collections.defaultdict(float)
+    a, beta, l1, l2 = model.alpha, model.beta, model.l1, model.l2
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / a + l2)
+
+    for _ in range(60):
+        at = np.sort(rng.choice(40, 7, replace=False))
+        x, label = rng.random(7), int(rng.random() < 0.5)
+        model.learn(at, x, label)
+        p = 1 / (1 + math.exp(-sum(weight(i) * v for i, v in zip(at.tolist(), x.tolist()))))
+        for i, v, w in [(i, v, weight(i)) for i, v in zip(at.tolist(), x.tolist())]:
+            g = (p - label) * v
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / a * w
+            n[i] += g * g
+    assert model.weights(np.arange(40)) == pytest.approx([weight(i) for i in range(40)])
+
+
+def plain_templates(rows, most=20, rare=0.02, z=2.0, least=5):
+    """Templates of one host's forms [(segments, n, good, bad)], level by level with dictionaries."""
+
+    def far(good, bad, g, b):
+        seen = good + bad
+        return seen > 0 and abs(good - seen * g / (g + b)) > z * math.sqrt(seen * g / (g + b) * (1 - g / (g + b)))
+
+    made = [list(form) for form, *_ in rows]
+    deepest = max(len(form) for form, *_ in rows)
+    for k in range(deepest):
+        if len({form[k] for form, *_ in rows if len(form) > k}) <= most:
+            continue
+        nodes = collections.defaultdict(lambda: collections.defaultdict(lambda: [0, 0, 0]))
+        for t, (_, *counts) in zip(made, rows):
+            if len(t) > k:
+                child = nodes[tuple(t[:k])][t[k]]
+                for i, c in enumerate(counts):
+                    child[i] += c
+        for t in made:
+            if len(t) > k and len(nodes[tuple(t[:k])]) > most:
+                children = nodes[tuple(t[:k])]
+                total = sum(c[0] for c in children.values())
+                joining = {s: c for s, c in children.items() if s == "*" or c[0] < rare * total}
+                if t[k] in joining:
+                    g, b = (sum(c[i] for c in joining.values()) for i in (1, 2))
+                    _, good, bad = joining[t[k]]
+                    if t[k] == "*" or good + bad < least or not far(good, bad, g, b):
+                        t[k] = "*"
+    for size in {len(t) for t in made}:
+        for k in range(size):
+            if len({t[k] for t in made if len(t) == size}) == 1:
+                for t in made:
+                    if len(t) == size:
+                        t[k] = "*"
+    for k in reversed(range(deepest)):
+        merged, branches = collections.defaultdict(lambda: [0, 0]), collections.defaultdict(lambda: [0, 0])
+        for t, (_, _, good, bad) in zip(made, rows):
+            if len(t) > k:
+                for sums in (merged[(*t[:k], "*", *t[k + 1 :])], branches[tuple(t)]):
+                    sums[0] += good
+                    sums[1] += bad
+        for t in made:
+            if len(t) > k and not far(*branches[tuple(t)], *merged[(*t[:k], "*", *t[k + 1 :])]):
+                t[k] = "*"
+    return ["/".join(t) for t in made]
+
+
+def test_templates_by_dictionaries(spark):
+    rng = random.Random(17)
+    rows = []
+    for host in ("a.com", "b.org"):
+        for i in range(70):
+            section = f"s{i % 35}" if host == "a.com" else f"t{i % 4}"
+            form = [section, rng.choice(["en", "de"]), *(["x", rng.choice("pq")] if rng.random() < 0.4 else [])]
+            bad = section in ("s3", "s7", "t1") and form[1] == "de"
+            n = rng.choice([1, 5, 60])
+            rows.append((host, form, n, rng.randint(0, 2) if bad else rng.randint(0, 9), rng.randint(5, 30) if bad else rng.randint(0, 2)))
+    unique = {(h, tuple(f)): (h, f, n, g, b) for h, f, n, g, b in rows}
+    rows = list(unique.values())
+    df = spark.createDataFrame(rows, "host string, form array<string>, n long, good long, bad long")
+    got = {(r["host"], tuple(r["form"])): "/".join(r["template"]) for r in urls.templates(df).collect()}
+    for host in ("a.com", "b.org"):
+        own = [r for r in rows if r[0] == host]
+        for (_, form, *_), want in zip(own, plain_templates([r[1:] for r in own])):
+            assert got[host, tuple(form)] == want
+    assert len(set(got.values())) > 4
+
+
 def test_digest_columns_of_queries(spark, tmp_path):
     """The registered queries give the contract's columns on the smallest given tables."""
     from linepulse.llm.queries import QUERIES
