@@ -24,6 +24,7 @@ from linepulse.plans.catalog import (
     _spi_records,
     _timer_messages,
     _WIDE_SCHEMA,
+    nozzle_v1,
     query,
 )
 from linepulse.plans.views import table, view
@@ -36,7 +37,7 @@ from linepulse.streaming import events as event_stream
 from linepulse.streaming import kpi as kpi_stream
 from linepulse.streaming import progress
 from linepulse.streaming.bucket_store import BucketStore
-from linepulse.streaming.ingest import landed, sink_records
+from linepulse.streaming.ingest import landed, lost_records, sink_records, sunk
 from linepulse.streaming.runner import start
 
 UNIT = ["kpi", "machine_id", "pcb_side"]
@@ -398,3 +399,31 @@ def payload_equal_rows(spark, d):
         (F.max("rows") < 2 * F.sum("rows") / 16).alias("even"),
         (F.max("most") <= 10).alias("bounded"),
     )
+
+
+@query
+def payload_nozzle_rows(spark, d):
+    """The enriched nozzle events as their request bodies carry them, row by row."""
+    rows = nozzle_v1(spark, d)
+    fields = ", ".join(f"{name}: {kind}" for name, kind in rows.dtypes)
+    bodies = payloads.text_payloads(rows, 1000, F.to_json(F.struct(*rows.columns)))
+    each = F.explode(F.from_json("payload", f"array<struct<{fields}>>"))
+    return bodies.select(each.alias("r")).select(*[F.col(f"r.{name}").alias(name) for name in rows.columns])
+
+
+@query
+def stream_sink_quarantine(spark, d):
+    """What the file sink's one table holds beyond the landed rows: unrouted records and lost values."""
+    root = fresh_path(spark, "sink")
+    _timer_messages(spark, d).write.parquet(f"{root}/in")
+    inlet = spark.readStream.schema("value string").parquet(f"{root}/in")
+    sink_records(inlet, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    lost = lost_records(sunk(spark, f"{root}/out"), ["ea_pap_timers"])
+    fields = F.from_json("raw", "Product_ID string, User_Name string, ulIdleTime string")
+    return lost.select("reason", F.array_join("bad_columns", ",").alias("bad_columns"), fields.alias("f")).select(
+        "reason",
+        "bad_columns",
+        F.col("f.Product_ID").alias("product_id"),
+        F.col("f.User_Name").alias("user_name"),
+        F.col("f.ulIdleTime").alias("idle_text"),
+    )

@@ -219,3 +219,5 @@ CHECKS["stream_rate_limit"] = """
     FROM customer GROUP BY ALL"""
 CHECKS["payload_equal_rows"] = """
     SELECT count(*) AS row_count, 16 AS buckets, true AS even, true AS bounded FROM lineitem"""
+CHECKS["payload_nozzle_rows"] = CHECKS["nozzle_v1"]
+CHECKS["stream_sink_quarantine"] = CHECKS["stream_quarantine"]

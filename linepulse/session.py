@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -88,3 +90,26 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder that was written here and that nothing reads any more."""
     files, at = _file_system(spark, path)
     files.delete(at, True)
+
+
+def clean_shared(spark: SparkSession, hours: float, now: float | None = None) -> list[str]:
+    """Deletes folders of ``fresh_path`` that nothing has written to for so many hours; gives their names.
+
+    What `materialize` writes outlives its query, as later branches read it. A job that runs every now
+    and then, with `hours` longer than any query takes, keeps the shared folder small.
+    """
+    files, at = _file_system(spark, shared_dir(spark))
+    if not files.exists(at):
+        return []
+    oldest = ((time.time() if now is None else now) - hours * 3600) * 1000
+    gone = [
+        s.getPath()
+        for s in files.listStatus(at)
+        if s.isDirectory() and _FRESH.search(s.getPath().getName()) and s.getModificationTime() < oldest
+    ]
+    for path in gone:
+        files.delete(path, True)
+    return sorted(path.getName() for path in gone)
+
+
+_FRESH = re.compile(r"-[0-9a-f]{32}$")

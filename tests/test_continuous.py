@@ -3,14 +3,16 @@
 import datetime as dt
 import pathlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from linepulse import session
 from linepulse.functions import sql
 from linepulse.operators import lookups, panes, skew
 from linepulse.plans import continuous
-from linepulse.session import fresh_path
+from linepulse.session import clean_shared, finished_folders, fresh_path
 from linepulse.sources import inferred, tables
 from linepulse.streaming import events, ingest, progress
 from linepulse.streaming import kpi as kpi_stream
@@ -259,3 +261,19 @@ def test_salting_bounds_the_largest_task(spark, rows):
     most = salted.groupBy("user_name", skew.SALT).count().agg(F.max("count")).first()[0]
     assert most <= 3000 / 8 * 1.5
     assert skew.salting(left.where("false"), "user_name").keys == ()
+
+
+# --- written folders ----------------------------------------------------------------
+
+
+def test_old_folders_of_the_shared_folder_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))  # a folder of its own, as others go on reading theirs
+    kept = fresh_path(spark, "kept")
+    for path in (kept, f"{tmp_path}/named-by-hand"):
+        spark.range(1).write.mode("overwrite").parquet(path)
+    assert clean_shared(spark, hours=1) == []
+    name = kept.rsplit("/", 1)[-1]
+    other = fresh_path(spark, "other")
+    found = clean_shared(spark, hours=1, now=time.time() + 2 * 3600)
+    assert name in found and "named-by-hand" not in found
+    assert finished_folders(spark, str(tmp_path)) == ["named-by-hand"] and other
