@@ -11,6 +11,7 @@ import os
 import sys
 import time
 
+from linepulse.plans import continuous  # noqa: F401  (it registers its queries)
 from linepulse.plans.catalog import QUERIES
 from linepulse.session import line_session
 
@@ -47,6 +48,15 @@ HEADLINE = (
     "stream_two_inlets",
     "stream_reset",
     "stream_quarantine",
+    "xmr_sliding",
+    "volume_bucketed",
+    "sql_functions",
+    "json_inferred",
+    "timers_salted",
+    "row_count_footers",
+    "kpi_routing",
+    "stream_file_sink",
+    "stream_latest_buckets",
 )
 
 
