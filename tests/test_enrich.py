@@ -38,7 +38,7 @@ def test_work_centre(spark, code, side, machine):
 def test_small_functions(spark):
     assert cell(spark, text.product_prefix(F.col("p")), p="WO77.a.b") == "WO77"
     assert cell(spark, text.strip_leading_zeros(F.col("p")), p="000123") == "123"
-    assert cell(spark, text.tag_location(F.col("t")), t="c1-smt-sng-nozzle") == "twb"
+    assert cell(spark, text.tag_location(F.col("t")), t="c1-smt-meq-nozzle") == "meq"
     assert cell(spark, text.tag_location(F.col("t")), t="c1") is None
     c, r = F.col("c"), F.col("r")
     assert cell(spark, text.panel_circuit(c, r), c="12", r="12-R10") == "12-"
@@ -98,9 +98,9 @@ AT = dt.datetime(2024, 1, 1)
 def nozzle_inputs(spark):
     events = spark.createDataFrame(
         [
-            ("c1-smt-sng-nozzle", "W1.a", AT, "E1", "0,21,22", 5, 9, 8, 1, 0, 0),
+            ("c1-smt-meq-nozzle", "W1.a", AT, "E1", "0,21,22", 5, 9, 8, 1, 0, 0),
             ("c1-smt-sng-nozzle", "W1.a", None, "E1", "0,1,2", 5, 9, 8, 1, 0, 0),
-            ("c1-smt-sng-nozzle", "W9.a", AT, "E1", "0,1,2", 5, 9, 8, 1, 0, 0),
+            ("c1-smt-meq-nozzle", "W9.a", AT, "E1", "0,1,2", 5, 9, 8, 1, 0, 0),
         ],
         NOZZLE,
     )
@@ -119,7 +119,7 @@ def test_nozzle_with_and_without_plant(spark, rows):
     events, machines, info, wo = nozzle_inputs(spark)
     loose = enrich.nozzle(events, machines, info, wo, as_of="2024-02-02 00:00:00")
     assert loose.count() == 4
-    xref = spark.createDataFrame([("twb", "1020"), ("sng", "5170")], "location string, plant string")
+    xref = spark.createDataFrame([("meq", "1020"), ("sng", "5170")], "location string, plant string")
     strict = enrich.nozzle(events, machines, info, wo, xref)
     assert rows(strict, "plant", "tooltypenozzle", "nozzle_mach_ch_hole", "wo_detail") == [
         ("1020", "T5", "M1 - 22-23", "http://x/wo?wo=S1&Location=1020&Section="),
@@ -201,7 +201,7 @@ SLOT = "xml_tag_name string, product_id string, date_time timestamp, user_name s
 
 def slot_result(spark, cost):
     events = spark.createDataFrame(
-        [("c1-smt-sng-slot", "W1.a", AT, "E1", part, 5, "0,1,0", 0, 9, 8, 1) for part in ("10", "11")], SLOT
+        [("c1-smt-meq-slot", "W1.a", AT, "E1", part, 5, "0,1,0", 0, 9, 8, 1) for part in ("10", "11")], SLOT
     )
     raw = spark.createDataFrame(
         [("1020", "M1", p, "A", 4.0, "N1", "PK", "f") for p in ("10", "11")],

@@ -9,7 +9,7 @@ from linepulse.operators import landing, routing
 from linepulse.sources import envelope, records
 
 
-def node(text, names=None, types=None, sep=",", tag="c1-smt-sng-spiTest-detail", tag_id="1"):
+def node(text, names=None, types=None, sep=",", tag="c1-smt-meq-spiTest-detail", tag_id="1"):
     about = "" if names is None else f' fieldnames="{names}" fieldtypes="{types}" separator="{sep}"'
     return (
         f"<LiveTextData><TagName>{tag}</TagName><Status>Good</Status><TagId>{tag_id}</TagId>"
@@ -38,7 +38,7 @@ HEADER = node(
     "K1,M1,Top,BRD-A,GOOD,12.5",
     "GeneratedKey,MachineID,side,PCBName,PCBResult,InspectionTestTime",
     "String,String,String,String,String,Double",
-    tag="c1-smt-sng-spiTest-header",
+    tag="c1-smt-meq-spiTest-header",
 )
 DETAIL_NAMES = "GeneratedKey,ModuleNo,RefDesignator,Volume"
 DETAIL_TYPES = "String,Int,String,Double"
@@ -156,7 +156,7 @@ def test_record_json(spark):
     data = json.loads(text)
     assert data["K"] == 'a"b' and data["N"] == 5 and data["D"] == 2.5 and data["B"] is True
     assert data["I"] == "" and data["E"] == " "
-    assert data["xml_tag_name"] == "c1-smt-sng-spiTest-detail" and len(data["uuid"]) == 64
+    assert data["xml_tag_name"] == "c1-smt-meq-spiTest-detail" and len(data["uuid"]) == 64
 
 
 _cell = st.text("abcXYZ019 -.", max_size=6)

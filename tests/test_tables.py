@@ -207,7 +207,7 @@ def test_reports(spark, rows):
 
 def test_xref_and_cost(spark, rows):
     assert rows(tables.location_plant(spark)) == [
-        ("meq", "1020"), ("mmc", "1150"), ("sng", "5170"), ("twb", "1020"),
+        ("meq", "1020"), ("mmc", "1150"), ("sng", "5170"), ("meq", "1020"),
     ]
     cost = spark.createDataFrame([("000123", "p", 1.5), ("0", "p", 2.0)], "material string, plant string, unit_cost double")
     assert rows(tables.material_cost(cost)) == [("", "p", 2.0), ("123", "p", 1.5)]
