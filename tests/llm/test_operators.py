@@ -443,7 +443,7 @@ def scored_plainly(tokens, learnt, evidence, longest):
     def kept(context):
         after = following.get(context, {})
         total, different = sum(after.values()), len(after)
-        if total < evidence:
+        if total < evidence << len(context) - 1:
             return False
         own = different * math.log(different) + sum(math.lgamma(c) for c in after.values())
         own += math.lgamma(different) - math.lgamma(different + total)
@@ -473,9 +473,9 @@ def test_suffix_tree_scores(spark, docs, texts, monkeypatch, longest, hot):
     monkeypatch.setattr(suffix_tree, "BUCKET_BYTES", 20_000)
     tokens = [WORD.findall(low(t)) + ["\n"] for t in texts]
     learnt = [k % 3 != 1 for k in range(len(texts))]
-    want, retained = scored_plainly(tokens, learnt, 4, longest)
+    want, retained = scored_plainly(tokens, learnt, 2, longest)
     assert {len(c) for c in retained} == set(range(1, longest + 1))
-    rows = by_id(suffix_tree.score(docs, F.col("doc_id") % 3 != 1, longest=longest, evidence=4))
+    rows = by_id(suffix_tree.score(docs, F.col("doc_id") % 3 != 1, longest=longest, evidence=2))
     for k, score in enumerate(want):
         assert rows[k]["score"] == pytest.approx(score, rel=1e-6), k
 
