@@ -12,7 +12,9 @@ is first split into parts of about a twentieth of that (`2 * window` words at le
 window - 1 words, so no window is lost or added.
 
 Null texts have no words. Repeated item rows count once by item_id; a null item_id is the item
-"null". Repeated documents give repeated rows; an empty table on either side gives no hits.
+"null". Repeated documents give repeated rows; an empty table on either side gives no hits. Texts of any
+length are searched whole. Of words equally rare in a window one is its prefix, which changes no hit. Other
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ nor is what only its class, id or role marks if it holds most of the words of th
 the page). A quote that doesn't close in its tag doesn't keep the tag from ending.
 
 Null html is an empty page with an empty text. Very long pages are scanned whole, in time that
-grows in line with their length. Repeated rows give repeated rows; an empty table gives none.
+grows in line with their length. Of runs with equal sums the one that ends first is taken. Repeated rows give
+repeated rows; an empty table gives none. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

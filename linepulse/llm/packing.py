@@ -7,8 +7,9 @@ pieces of each class share a sequence) is solved by column generation, where a k
 program prices new patterns. Rounded down, the patterns and a greedy filling of what is left give
 every rank of every class its sequence; the ranks are dealt to the pieces by Spark.
 
-Null text is an empty document, which is its end id alone. Repeated rows are packed as often as
-they occur. An empty table gives no pieces. Other columns, whatever their names, are ignored.
+Null text is an empty document, which is its end id alone. Texts of any length are cut whole into pieces. Repeated
+rows are packed as often as they occur; pieces of equal length are ranked in any order, which changes no padding.
+An empty table gives no pieces. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ about one run for 180 bytes, and only runs are shuffled, by anchor:
 Anchors and runs that very many rows have are joined in parts, so no task gets all rows of one.
 
 Null text is an empty document. Each row is a document of its own, even if ids repeat. Bytes are
-judged on the input. An empty table gives no rows.
+judged on the input. Texts of any length are judged whole, some windows at a time. Of equal least hashes in a
+window the first is its anchor. An empty table gives no rows. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ pairs are skipped. Each compared pair of tiles gives a spanning forest of its li
 large-star and small-star grouping turn the links into components.
 
 Null text is an empty document; documents without a word have fingerprint zero and are linked with
-each other. Repeated rows give repeated results. An empty table gives no rows.
+each other. Texts of any length are hashed whole. A bit that exactly half of the hashes set is 0. Repeated rows
+give repeated results. An empty table gives no rows. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

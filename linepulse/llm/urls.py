@@ -11,8 +11,10 @@ The steps run on one row for each host and form of path. Counts are aggregates j
 host and branch, so that a host with a third of all pages isn't gathered in one place. Paths have
 any number of segments; a level is worked on only where it can change something.
 
-Null urls and urls without "://" have an empty host and path. Repeated rows are judged alike.
-Without labels the share is the prior.
+Null urls and urls without "://" have an empty host and path. Addresses of any length are read whole. Repeated
+rows are judged alike, and each counts. Of rules that fit the longest wins, of equally long ones the later; a share that is
+exactly the least purity is allowed. Without labels the share is the prior. An empty table gives no
+rows. Other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
