@@ -443,7 +443,7 @@ def scored_plainly(tokens, learnt, evidence, longest):
     def kept(context):
         after = following.get(context, {})
         total, different = sum(after.values()), len(after)
-        if total < evidence << len(context) - 1:
+        if total < evidence * suffix_tree.FURTHER ** (len(context) - 1):
             return False
         own = different * math.log(different) + sum(math.lgamma(c) for c in after.values())
         own += math.lgamma(different) - math.lgamma(different + total)
