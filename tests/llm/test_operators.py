@@ -469,6 +469,7 @@ def scored_plainly(tokens, learnt, evidence, longest):
 @pytest.mark.parametrize("longest, hot", [(1, 512), (3, 512), (4, 20)])
 def test_suffix_tree_scores(spark, docs, texts, monkeypatch, longest, hot):
     monkeypatch.setattr(suffix_tree, "HOT", hot)
+    monkeypatch.setattr(suffix_tree, "FURTHER", 2)
     monkeypatch.setattr(suffix_tree, "CHUNK_BYTES", 20_000)
     monkeypatch.setattr(suffix_tree, "BUCKET_BYTES", 20_000)
     tokens = [WORD.findall(low(t)) + ["\n"] for t in texts]
