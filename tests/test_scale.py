@@ -76,3 +76,15 @@ def test_a_query_keeps_its_settings_and_the_session_its_own(spark):
     runner.start(stream, each, f"{root}/checkpoint").awaitTermination()
     assert seen == runner.QUERY_SETTINGS
     assert {k: spark.conf.get(k, None) for k in runner.QUERY_SETTINGS} == before
+
+
+def test_tags_are_counted_before_they_meet_their_plants(spark, tmp_path, rows):
+    lines = spark.range(0, 1000).select(
+        F.lit(0).cast("bigint").alias("l_partkey"), F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber")
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    made = catalog.location_plant(spark, str(tmp_path))
+    assert rows(made) == [("sng", "5170", 1000)]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join") :]
+    assert "Aggregate [" in below, plan
