@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from linepulse.operators import routing
+from linepulse.functions import text
+from linepulse.operators import landing, routing
 from linepulse.plans import catalog
 from linepulse.session import fresh_path, shared_dir, spread
 from linepulse.streaming import ingest, runner
@@ -88,3 +89,27 @@ def test_tags_are_counted_before_they_meet_their_plants(spark, tmp_path, rows):
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("Join") :]
     assert "Aggregate [" in below, plan
+
+
+def test_keys_of_plain_names_need_no_pattern(spark):
+    marks = "".join(map(chr, range(1, 128))).replace("\u0001", "")
+    names = ["Head #", "ul_idle__time", "", "İ_Größe 2", "K-x", "na\u0000me", marks]
+    pattern = F.transform("n", lambda n: F.lower(F.regexp_replace(n, "[^A-Za-z0-9]", "")))
+    df = spark.createDataFrame([(names,), (names[:3],), (None,), ([],)], "n array<string>")
+    got = df.select(text.keys_of(F.col("n")).alias("k"), pattern.alias("p")).collect()
+    assert [r.k for r in got] == [got[0].p, got[1].p, None, [""]]
+    plan = df.select(text.keys_of(F.col("n")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" in plan
+
+
+def test_lost_values_are_looked_for_once(spark, rows):
+    parsed = routing.classify(records.json_records(_messages(spark, 5).unionByName(_messages(spark, 7, NOZZLE))))
+    lost = landing.misfit_rows(parsed, "ea_pap_timers")
+    assert rows(lost, F.array_join("bad_columns", ",")) == [("ul_idle_time",)] * 5
+    assert lost.columns == [*parsed.columns, "bad_columns"]
+    plan = lost._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("THEN ul_setup_time END") == 1, plan
+
+
+def test_no_generated_method_is_too_long_to_be_compiled():
+    assert int(runner.QUERY_SETTINGS["spark.sql.codegen.hugeMethodLimit"]) <= 8000  # HotSpot's limit
