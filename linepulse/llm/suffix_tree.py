@@ -9,14 +9,15 @@ distribution of a retained context is smoothed by its parent's, with a weight fo
 that has followed it, and each symbol is scored from the longest retained suffix of what stands before.
 
 Nothing of the tree is on the driver. Documents are taken in chunks; a chunk sends its different words
-and its different (context, symbol) pairs once, in sorted blocks dealt by hash. A bucket adds up the
-blocks of all chunks and answers each in its order: totals of words; for pairs their count and, for
-each context, how often it occurred, with how many different symbols, and the log likelihood of those.
+and then its different (context, symbol) pairs once, in sorted blocks dealt by hash; a pair goes with
+the nats that its symbol costs after the parent. A bucket adds up the blocks of all chunks and answers
+each in its order: totals of words; for pairs their count and, for each context, how often it occurred,
+with how many different symbols, the log likelihood of those, and what their repeats cost after the parent.
 A block never has more rows than entries, so this is at most an ordinary shuffle by key. Pairs of the
 few contexts with a share beyond 1 / `HOT` are dealt by the pair, and their sums are brought together
-on their own. Contexts of one word are counted for all positions. A context of k + 1 words can
-only have the evidence if its first k + 1 words have it as a pair, which round k has counted, so
-later rounds carry on those positions alone, until none or `LONGEST` words are left.
+on their own. Contexts of one word are counted where the word has the evidence, which its total tells.
+A context of k + 1 words can only have the evidence if its first k + 1 words have it as a pair, which
+round k has counted, so later rounds carry on those positions alone, until none or `LONGEST` words are left.
 
 Words count by 64-bit hashes: of V different words two share a count with a chance of V^2 / 2^65.
 Contexts and symbols of pairs are 32-bit hashes; those that collide share a distribution.
@@ -72,17 +73,18 @@ def log_gamma(n: np.ndarray) -> np.ndarray:
 _GAMMA = np.concatenate([[0.0, 0.0], np.cumsum(np.log(np.arange(1, 255)))])
 
 
-def gain(n: np.ndarray, different: np.ndarray, likelihood: np.ndarray, cost: float) -> np.ndarray:
+def gain(n: np.ndarray, different: np.ndarray, likelihood: np.ndarray, cost: np.ndarray) -> np.ndarray:
     """Log Bayes factor, in nats, that contexts have a distribution of their own.
 
-    The `n` next symbols are either drawn from the parent, at `cost` nats each on average, or from
-    a distribution that is spread around it (a Dirichlet process as concentrated as there
-    are different symbols): then each different symbol is paid for once. `likelihood` is the sum
-    of log (count - 1)! over the symbols.
+    The `n` next symbols are either drawn from the parent, where a symbol costs -log of its probability
+    each time, or from a distribution that is spread around the parent's (a Dirichlet process as
+    concentrated as there are different symbols): then each different symbol is paid for once. `cost`
+    is what the parent asks for the other times: the sum of (count - 1) * -log probability over the
+    symbols. `likelihood` is the sum of log (count - 1)! over them.
     """
     a = np.maximum(different, 1)
     own = different * np.log(a) + likelihood + log_gamma(a) - log_gamma(a + n)
-    return own + (n - different) * cost
+    return own + cost
 
 
 def probability(
@@ -91,7 +93,7 @@ def probability(
     n: np.ndarray,
     different: np.ndarray,
     likelihood: np.ndarray,
-    cost: float,
+    cost: np.ndarray,
     evidence: int,
 ) -> np.ndarray:
     """Probabilities of symbols after contexts, given those after their parents."""
@@ -117,11 +119,13 @@ def _unpack(data: bytes, *types: str) -> list[np.ndarray]:
     return out
 
 
-_CHUNK = "chunk bigint, docs binary, text binary, top binary"
+_CHUNK = "chunk bigint, docs binary, text binary, top binary, words binary"
 
 
 def _chunks(docs: DataFrame) -> DataFrame:
-    """Rows of documents in chunks, lower-cased and compressed, each with its most frequent words."""
+    """Rows of documents in chunks, lower-cased and compressed, each with its most frequent words and the
+    counts of all its words in training rows.
+    """
 
     def packed(chunk: int, rows: list[tuple]) -> pa.RecordBatch:
         ids, learn, texts = zip(*rows, strict=True)
@@ -133,10 +137,13 @@ def _chunks(docs: DataFrame) -> DataFrame:
         counts = np.bincount(words.token, minlength=len(words.hash))
         often = counts * HOT > len(words.token)
         top = _pack(words.hash[often] & _LOW, counts[often].astype("<i8"))
-        columns = ([chunk], [docs], [zstandard.compress(b"".join(texts), 6)], [top])
-        types = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        order = np.argsort(words.hash)
+        learnt = np.bincount(words.token, words.learn, len(words.hash)).astype("<i8")
+        totals = _pack(np.diff(words.hash[order], prepend=np.uint64(0)), learnt[order])
+        columns = ([chunk], [docs], [zstandard.compress(b"".join(texts), 6)], [top], [totals])
+        types = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["chunk", "docs", "text", "top"]
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["chunk", "docs", "text", "top", "words"]
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,10 +209,14 @@ class _Keys:
 def _word_keys(words: _Words, buckets: int) -> tuple[_Keys, np.ndarray]:
     """Word hashes, sorted inside their buckets, and the place of each of the chunk's words."""
     keys, at = np.unique(words.hash, return_inverse=True)
-    made = _Keys(keys, (keys % np.uint64(buckets)).astype(np.int64), buckets)
+    made = _Keys(keys, _word_bucket(keys, buckets), buckets)
     return made, made.place[at]
 
 
+def _word_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (keys % np.uint64(buckets)).astype(np.int64)
+
+
 def _pair_keys(context: np.ndarray, symbol: np.ndarray, buckets: int, hot: np.ndarray) -> tuple[_Keys, np.ndarray]:
     """Pairs, sorted inside their buckets, and the place of each position's pair."""
     keys, at = np.unique(context << _HALF | symbol, return_inverse=True)
@@ -217,59 +228,115 @@ def _pair_keys(context: np.ndarray, symbol: np.ndarray, buckets: int, hot: np.nd
 
 # --- blocks and answers -------------------------------------------------------------
 
-_BLOCK = "kind int, chunk bigint, bucket int, keys binary, sums binary"
-_BLOCK_TYPES = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+_BLOCK = "kind int, chunk bigint, bucket int, keys binary, sums binary, costs binary"
+_BLOCK_TYPES = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
 WORDS, PAIRS = 0, 1
 
 
 def _block_table(rows: list[tuple]) -> pa.Table:
-    columns = zip(*rows, strict=True) if rows else [[]] * 5
+    columns = zip(*rows, strict=True) if rows else [[]] * 6
     return pa.Table.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, _BLOCK_TYPES, strict=True)],
-        ["kind", "chunk", "bucket", "keys", "sums"],
+        ["kind", "chunk", "bucket", "keys", "sums", "costs"],
     )
 
 
-def _blocks(kind: int, chunk: int, keys: _Keys, counts: np.ndarray) -> list[tuple]:
+def _blocks(kind: int, chunk: int, keys: _Keys, counts: np.ndarray, costs: np.ndarray | None = None) -> list[tuple]:
     return [
-        (kind, chunk, b, _pack(np.diff(keys.keys[own], prepend=np.uint64(0))), _pack(counts[own].astype("<i8")))
+        (
+            kind,
+            chunk,
+            b,
+            _pack(np.diff(keys.keys[own], prepend=np.uint64(0))),
+            _pack(counts[own].astype("<i8")),
+            None if costs is None else _pack(costs[own].astype("<f4")),
+        )
         for b, own in keys.slices()
     ]
 
 
-def _sent(chunks: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
-    """Blocks of words and of pairs with contexts of one word, with their counts in training rows."""
+def _pair_blocks(chunk: int, context, symbol, learn, p, buckets: int, hot: np.ndarray) -> pa.Table:
+    """Blocks of the pairs at some positions: counts in training rows, nats of the symbols after the parents."""
+    made, at = _pair_keys(context, symbol, buckets, hot)
+    costs = np.zeros(len(made.keys))
+    np.maximum.at(costs, at, -np.log(p))  # the same at all positions of a pair but for colliding contexts
+    return _block_table(_blocks(PAIRS, chunk, made, np.bincount(at, learn, len(made.keys)), costs))
+
+
+def _sent_words(chunks: DataFrame, buckets: int) -> DataFrame:
+    """Blocks of words with their counts in training rows."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                _, _, words = _read(row)
-                made, at = _word_keys(words, buckets)
-                counts = np.bincount(at[words.token], words.learn, len(made.keys))
-                out = _blocks(WORDS, row["chunk"], made, counts)
-                made, at = _pair_keys(words.context, words.next, buckets, hot)
-                out += _blocks(PAIRS, row["chunk"], made, np.bincount(at, words.learn, len(made.keys)))
-                yield from _block_table(out).to_batches()
+            for chunk, totals in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                steps, counts = _unpack(totals, "<u8", "<i8")
+                keys = np.cumsum(steps)
+                made = _Keys(keys, _word_bucket(keys, buckets), buckets)
+                placed = np.empty_like(counts)
+                placed[made.place] = counts
+                yield from _block_table(_blocks(WORDS, chunk, made, placed)).to_batches()
+
+    return chunks.select("chunk", "words").mapInArrow(work, _BLOCK)
+
+
+def _word_counts(words: _Words, answers: dict[int, bytes], buckets: int) -> np.ndarray:
+    """Totals of a chunk's words in training rows, from the answers to its blocks."""
+    made, at = _word_keys(words, buckets)
+    counts = np.zeros(len(made.keys), np.int64)
+    for b, own in made.slices():
+        counts[own] = _unpack(answers[b], "<i8")[0]
+    return counts[at]
+
+
+def _contexts_with(words: _Words, totals: np.ndarray, evidence: int) -> np.ndarray:
+    """Positions whose context of one word has the evidence: a word is a context wherever it occurs."""
+    count = totals[words.token]
+    before = np.empty_like(count)
+    before[1:] = count[:-1]
+    before[words.starts] = totals[words.token[words.stops[0] - 1]]  # the end stands before the first word
+    return np.flatnonzero(before >= evidence)
+
 
-    return chunks.select("chunk", "docs", "text").mapInArrow(work, _BLOCK)
+def _sent_pairs(chunks: DataFrame, answers: DataFrame, buckets: int, hot: np.ndarray, totals: tuple, evidence: int) -> DataFrame:
+    """Blocks of pairs with contexts of one word that has the evidence."""
+    tokens, different = totals
+    least = float(np.log10(tokens + 0.5 * (different + 1)))
 
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        (row,) = left.to_pylist()
+        _, _, words = _read(row)
+        found = dict(zip(right.column("bucket").to_pylist(), right.column("data").to_pylist(), strict=True))
+        count = _word_counts(words, found, buckets)
+        own = _contexts_with(words, count, evidence)
+        p = 10.0 ** (np.log10(count + 0.5) - least)
+        return _pair_blocks(
+            row["chunk"], words.context[own], words.next[own], words.learn[own], p[words.token[own]], buckets, hot
+        )
+
+    return (
+        chunks.select("chunk", "docs", "text")
+        .groupBy("chunk")
+        .cogroup(answers.select("chunk", "bucket", "data").groupBy("chunk"))
+        .applyInArrow(work, _BLOCK)
+    )
 
-_ANSWER = "kind int, chunk bigint, bucket int, data binary, key bigint, a bigint, b bigint, c double"
+
+_ANSWER = "kind int, chunk bigint, bucket int, data binary, key bigint, a bigint, b bigint, c double, d double"
 _ANSWER_TYPES = (
-    pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(),
+    pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
 )
 
 
 def _answer_table(rows: list[tuple]) -> pa.Table:
-    columns = zip(*rows, strict=True) if rows else [[]] * 8
+    columns = zip(*rows, strict=True) if rows else [[]] * 9
     return pa.Table.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, _ANSWER_TYPES, strict=True)],
-        ["kind", "chunk", "bucket", "data", "key", "a", "b", "c"],
+        ["kind", "chunk", "bucket", "data", "key", "a", "b", "c", "d"],
     )
 
 
-def _context_sums(keys: np.ndarray, counts: np.ndarray):
-    """For sorted pairs: contexts, their occurrences, different symbols and log likelihoods."""
+def _context_sums(keys: np.ndarray, counts: np.ndarray, costs: np.ndarray):
+    """For sorted pairs: contexts, their occurrences, different symbols, log likelihoods and costs of repeats."""
     owner = keys >> _HALF
     first = np.flatnonzero(np.diff(owner, prepend=owner[0] ^ np.uint64(1)) != 0)
     seen = counts > 0
@@ -278,12 +345,13 @@ def _context_sums(keys: np.ndarray, counts: np.ndarray):
         np.add.reduceat(counts, first),
         np.add.reduceat(seen.astype(np.int64), first),
         np.add.reduceat(np.where(seen, log_gamma(np.maximum(counts, 1)), 0.0), first),
+        np.add.reduceat(np.maximum(counts - 1, 0) * costs, first),
     )
 
 
 def _answered(blocks: DataFrame, hot: np.ndarray) -> DataFrame:
-    """Answers to all blocks. Rows without a chunk: totals of words (tokens, different ones, sum of n log n)
-    and sums of hot contexts by bucket.
+    """Answers to all blocks. Rows without a chunk: totals of words (tokens, different ones) and sums of
+    hot contexts by bucket.
     """
 
     def work(table: pa.Table) -> pa.Table:
@@ -298,15 +366,21 @@ def _answered(blocks: DataFrame, hot: np.ndarray) -> DataFrame:
         for size, counts in zip(sizes, table.column("sums"), strict=True):
             sums[at[start : start + size]] += _unpack(counts.as_py(), "<i8")[0]  # a block's keys differ
             start += size
-        out, start = [], 0
+        out = []
         if kind == WORDS:
             n = sums[sums > 0]
-            out.append((kind, None, bucket, None, None, int(n.sum()), len(n), float((n * np.log(n)).sum())))
+            out.append((kind, None, bucket, None, None, int(n.sum()), len(n), None, None))
         else:
-            owners, n, different, likelihood = _context_sums(known, sums)
+            costs, start = np.zeros(len(known), "<f4"), 0
+            for size, sent in zip(sizes, table.column("costs"), strict=True):
+                own = at[start : start + size]
+                costs[own] = np.maximum(costs[own], _unpack(sent.as_py(), "<f4")[0])
+                start += size
+            owners, n, different, likelihood, cost = _context_sums(known, sums, costs.astype(float))
             is_hot = np.isin(owners, hot)
-            for row in zip(*(x[is_hot].tolist() for x in (owners, n, different, likelihood)), strict=True):
+            for row in zip(*(x[is_hot].tolist() for x in (owners, n, different, likelihood, cost)), strict=True):
                 out.append((kind, None, bucket, None, *row))
+        start = 0
         for chunk, size in zip(chunks, sizes, strict=True):
             own, asked = at[start : start + size], keys[start : start + size]
             start += size
@@ -314,9 +388,10 @@ def _answered(blocks: DataFrame, hot: np.ndarray) -> DataFrame:
             if kind == PAIRS:
                 asked = np.unique(asked >> _HALF)
                 place = np.searchsorted(owners, asked)
-                about = [n[place].astype("<i8"), different[place].astype("<i8"), likelihood[place].astype("<f4")]
+                about = [n[place].astype("<i8"), different[place].astype("<i8")]
+                about += [likelihood[place].astype("<f4"), cost[place].astype("<f4")]
                 data = len(data).to_bytes(8, "little") + data + _pack(*about)
-            out.append((kind, chunk, bucket, data, None, None, None, None))
+            out.append((kind, chunk, bucket, data, None, None, None, None, None))
         pa.default_memory_pool().release_unused()
         return _answer_table(out)
 
@@ -324,13 +399,13 @@ def _answered(blocks: DataFrame, hot: np.ndarray) -> DataFrame:
 
 
 def _pair_answers(keys: _Keys, answers: dict[int, bytes], hot_sums: dict) -> tuple[np.ndarray, ...]:
-    """(count, occurrences, different symbols, likelihood of the context) of each key, in order."""
-    out = [np.zeros(len(keys.keys), t) for t in (np.int64, np.int64, np.int64, float)]
+    """(count, occurrences, different symbols, likelihood, cost of repeats of the context) of each key, in order."""
+    out = [np.zeros(len(keys.keys), t) for t in (np.int64, np.int64, np.int64, float, float)]
     for b, own in keys.slices():
         data = answers[b]
         cut = 8 + int.from_bytes(data[:8], "little")
         out[0][own] = _unpack(data[8:cut], "<i8")[0]
-        about = _unpack(data[cut:], "<i8", "<i8", "<f4")
+        about = _unpack(data[cut:], "<i8", "<i8", "<f4", "<f4")
         _, place = np.unique(keys.keys[own] >> _HALF, return_inverse=True)
         for column, values in zip(out[1:], about, strict=True):
             column[own] = values[place]
@@ -338,7 +413,7 @@ def _pair_answers(keys: _Keys, answers: dict[int, bytes], hot_sums: dict) -> tup
         owner = keys.keys >> _HALF
         at = np.minimum(np.searchsorted(hot_sums["key"], owner), hot_sums["key"].size - 1)
         is_hot = hot_sums["key"][at] == owner
-        for column, name in zip(out[1:], "abc", strict=True):
+        for column, name in zip(out[1:], "abcd", strict=True):
             column[is_hot] = hot_sums[name][at[is_hot]]
     return tuple(out)
 
@@ -392,21 +467,28 @@ def _sums(answered: DataFrame, hot: np.ndarray) -> dict[str, np.ndarray]:
     rows = (
         answered.where(f"chunk is null and kind = {PAIRS}")
         .groupBy("key")
-        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("c").alias("c"))
+        .agg(*[F.sum(name).alias(name) for name in "abcd"])
         .orderBy("key")
         .collect()
         if len(hot)
         else []
     )
-    types = {"key": np.uint64, "a": np.int64, "b": np.int64, "c": float}
+    types = {"key": np.uint64, "a": np.int64, "b": np.int64, "c": float, "d": float}
     return {k: np.array([r[k] for r in rows], t) for k, t in types.items()}
 
 
 def _first_scores(
-    chunks: DataFrame, answered: DataFrame, buckets: int, hot: np.ndarray, totals: tuple, evidence: int, last: bool
+    chunks: DataFrame,
+    counted: DataFrame,
+    answered: DataFrame,
+    buckets: int,
+    hot: np.ndarray,
+    totals: tuple,
+    evidence: int,
+    last: bool,
 ) -> DataFrame:
     """Base columns, and scores with contexts of one word; carry rows for longer ones."""
-    tokens, different, cost = totals
+    tokens, different = totals
     hot_sums, least = _sums(answered, hot), float(np.log10(tokens + 0.5 * (different + 1)))
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -415,17 +497,18 @@ def _first_scores(
         for kind, bucket, data in zip(*(right.column(k).to_pylist() for k in ("kind", "bucket", "data")), strict=True):
             found[kind][bucket] = data
         ids, known, words = _read(row)
-        made, at = _word_keys(words, buckets)
-        counts = np.zeros(len(made.keys), np.int64)
-        for b, own in made.slices():
-            counts[own] = _unpack(found[WORDS][b], "<i8")[0]
-        count = counts[at][words.token]
+        counts = _word_counts(words, found[WORDS], buckets)
+        count = counts[words.token]
         logs = np.log10(count + 0.5) - least
-        made, at = _pair_keys(words.context, words.next, buckets, hot)
+        own = _contexts_with(words, counts, evidence)
+        made, at = _pair_keys(words.context[own], words.next[own], buckets, hot)
         about = [x[at] for x in _pair_answers(made, found[PAIRS], hot_sums)]
-        p = probability(10.0**logs, *about, cost, evidence)
+        p = 10.0**logs
+        p[own] = probability(p[own], *about, evidence)
+        pairs = np.zeros(len(p), np.int64)
+        pairs[own] = about[0]
         doc = np.repeat(np.arange(len(ids)), words.sizes)
-        carry = _carried(np.arange(len(p)), doc, words.learn, words.context, words.next, p, about[0], FURTHER * evidence, last)
+        carry = _carried(np.arange(len(p)), doc, words.learn, words.context, words.next, p, pairs, FURTHER * evidence, last)
         n = len(ids)
         learn = words.learn[words.starts]
         out = {
@@ -443,7 +526,7 @@ def _first_scores(
             return table
         return pa.concat_tables([table, _scored_table({"chunk": [row["chunk"]], "carry": [carry]}, 1)])
 
-    answers = answered.where("chunk is not null").select("kind", "chunk", "bucket", "data")
+    answers = counted.unionByName(answered).where("chunk is not null").select("kind", "chunk", "bucket", "data")
     return (
         chunks.select("chunk", "docs", "text")
         .groupBy("chunk")
@@ -452,17 +535,14 @@ def _first_scores(
     )
 
 
-def _round(carried: DataFrame, buckets: int, cost: float, evidence: int, last: bool) -> DataFrame:
+def _round(carried: DataFrame, buckets: int, evidence: int, last: bool) -> DataFrame:
     """What contexts of one more word add to the scores, and carry rows for still longer ones."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, carry in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                _, _, learn, context, symbol, _ = _unpack_carry(carry)
-                made, at = _pair_keys(context, symbol, buckets, _NO_KEYS)
-                yield from _block_table(
-                    _blocks(PAIRS, chunk, made, np.bincount(at, learn, len(made.keys)))
-                ).to_batches()
+                _, _, learn, context, symbol, p = _unpack_carry(carry)
+                yield from _pair_blocks(chunk, context, symbol, learn, p, buckets, _NO_KEYS).to_batches()
 
     def receive(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk, carry = left.column("chunk")[0].as_py(), left.column("carry")[0].as_py()
@@ -470,7 +550,7 @@ def _round(carried: DataFrame, buckets: int, cost: float, evidence: int, last: b
         made, at = _pair_keys(context, symbol, buckets, _NO_KEYS)
         found = dict(zip(right.column("bucket").to_pylist(), right.column("data").to_pylist(), strict=True))
         about = [x[at] for x in _pair_answers(made, found, {"key": _NO_KEYS})]
-        longer = probability(p, *about, cost, evidence)
+        longer = probability(p, *about, evidence)
         own, to = np.unique(doc, return_inverse=True)
         added = np.bincount(to, np.log10(longer / p))
         table = _scored_table({"chunk": [chunk] * len(own), "place": own, "score": added}, len(own))
@@ -522,14 +602,12 @@ def score(
     buckets = parts_for(size, BUCKET_BYTES, 8)
     chunks = materialize(_chunks(rows), "chunks")
     hot = _frequent(chunks)
-    answered = materialize(_answered(_sent(chunks, buckets, hot), hot), "counts")
-    tokens, different, spread = (
-        x or 0
-        for x in answered.where(f"chunk is null and kind = {WORDS}").agg(F.sum("a"), F.sum("b"), F.sum("c")).first()
-    )
-    cost = float(np.log(tokens) - spread / tokens) if tokens else 0.0
-    totals = (tokens, different, cost)
-    scored = _first_scores(chunks, answered, buckets, hot, totals, evidence, longest < 2)
+    counted = materialize(_answered(_sent_words(chunks, buckets), hot), "words")
+    tokens, different = (x or 0 for x in counted.where("chunk is null").agg(F.sum("a"), F.sum("b")).first())
+    totals = (tokens, different)
+    sent = _sent_pairs(chunks, counted.where("chunk is not null"), buckets, hot, totals, evidence)
+    answered = materialize(_answered(sent, hot), "counts")
+    scored = _first_scores(chunks, counted, answered, buckets, hot, totals, evidence, longest < 2)
     if longest > 1:
         scored = materialize(scored, "scores")
     docs, added = scored.where("carry is null"), None
@@ -538,7 +616,7 @@ def score(
         if not carried.limit(1).count():
             break
         enough = evidence * FURTHER ** (words - 1)
-        made = materialize(_round(carried, buckets, cost, enough, words == longest), "scores")
+        made = materialize(_round(carried, buckets, enough, words == longest), "scores")
         more = made.where("carry is null").select("chunk", "place", F.col("score").alias("more"))
         added = more if added is None else added.unionByName(more)
         carried = made.where("carry is not null").select("chunk", "carry")

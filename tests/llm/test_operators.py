@@ -3,6 +3,7 @@ repeated rows, empty tables and further columns.
 """
 
 import collections
+import functools
 import hashlib
 import json
 import math
@@ -481,6 +482,76 @@ def test_suffix_tree_scores(spark, docs, texts, monkeypatch, longest, hot):
         assert rows[k]["score"] == pytest.approx(score, rel=1e-6), k
 
 
+def scored_by_parents(tokens, learnt, evidence, longest):
+    """Scores by dictionaries of whole contexts, each tested against the distribution of its parent."""
+    counts = collections.Counter(w for words, own in zip(tokens, learnt) if own for w in words)
+    n, v = sum(counts.values()), len(counts)
+    following = collections.defaultdict(collections.Counter)
+    for words, own in zip(tokens, learnt):
+        before = ["\n", *words]
+        for i, w in enumerate(words):
+            for k in range(1, longest + 1):
+                if own and i + 1 - k >= 0:
+                    following[tuple(before[i + 1 - k : i + 1])][w] += 1
+
+    @functools.cache
+    def kept(context):
+        after = following.get(context, {})
+        total, a = sum(after.values()), len(after)
+        if total < evidence * suffix_tree.FURTHER ** (len(context) - 1):
+            return False
+        own = a * math.log(a) + sum(math.lgamma(c) for c in after.values()) + math.lgamma(a) - math.lgamma(a + total)
+        own += sum(math.log(probability(context[1:], w)) for w in after)
+        return own - sum(c * math.log(probability(context[1:], w)) for w, c in after.items()) > suffix_tree.BOUND
+
+    @functools.cache
+    def probability(context, w):
+        if not context:
+            return (counts[w] + 0.5) / (n + 0.5 * (v + 1))
+        p, after = probability(context[1:], w), following.get(context, {})
+        spread = suffix_tree.WEIGHT * len(after)
+        return (after.get(w, 0) + spread * p) / (sum(after.values()) + spread) if kept(context) else p
+
+    out = []
+    for words in tokens:
+        before = ["\n", *words]
+        contexts = [tuple(before[max(0, i + 1 - longest) : i + 1]) for i in range(len(words))]
+        out.append(sum(math.log10(probability(c, w)) for c, w in zip(contexts, words, strict=True)))
+    return out, {c for c in following if kept(c)}
+
+
+@pytest.mark.parametrize("longest, hot", [(1, 512), (3, 512), (4, 20)])
+def test_contexts_are_tested_against_their_parents(spark, monkeypatch, longest, hot):
+    monkeypatch.setattr(suffix_tree, "HOT", hot)
+    monkeypatch.setattr(suffix_tree, "CHUNK_BYTES", 8_000)
+    monkeypatch.setattr(suffix_tree, "BUCKET_BYTES", 8_000)
+    rng = np.random.default_rng(5)
+    likely, texts = rng.integers(0, 6, (6, 6, 6)), []
+    for k in range(240):
+        words = [0, 0, 0]
+        for _ in range(60):
+            words.append(likely[tuple(words[-3:])] if rng.random() < 0.6 else rng.integers(0, 6))
+        texts.append(" ".join([f"w{w}" for w in words] + [f"r{rng.integers(0, 200)}" for _ in range(k % 7)]))
+    tokens = [t.split() + ["\n"] for t in texts]
+    learnt = [k % 3 != 1 for k in range(len(texts))]
+    want, retained = scored_by_parents(tokens, learnt, 2, longest)
+    assert {len(c) for c in retained} == set(range(1, min(longest, 3) + 1))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = by_id(suffix_tree.score(docs, F.col("doc_id") % 3 != 1, longest=longest, evidence=2))
+    for k, score in enumerate(want):
+        assert rows[k]["score"] == pytest.approx(score, rel=1e-6), k
+
+
+def test_a_context_like_its_parent_is_not_kept(spark):
+    """After b always comes c, whatever stands before b: a longer context says nothing new."""
+    texts = [f"{'xyz'[k % 3]} b c w{k % 40} v{k % 41}" for k in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    one, two = (by_id(suffix_tree.score(docs, F.lit(True), longest=k, evidence=8)) for k in (1, 2))
+    for k in range(len(texts)):
+        assert one[k]["score"] > one[k]["base_score"]
+        assert two[k]["score"] == pytest.approx(one[k]["score"], rel=1e-9)
+
+
 def test_scores_do_not_depend_on_chunks(docs, texts, monkeypatch):
     learn = F.col("doc_id") % 3 != 1
     whole = by_id(suffix_tree.score(docs, learn))
