@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,6 +168,54 @@ def test_hot_machine_is_split_when_lookups_are_too_large_to_broadcast(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def exchanges(df):
+    """Keys of the shuffles in a plan without broadcasts, outermost first."""
+    spark, key = df.sparkSession, "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    return [re.findall(r"(\w+)#", k) for k in re.findall(r"Exchange hashpartitioning\((.*), \d+\)", plan)]
+
+
+def test_events_meet_machines_and_tools_at_once(spark):
+    """Nozzle events are dealt for their machine and its tools, and for their order: not three times."""
+    events, machines, info, wo = nozzle_inputs(spark)
+    found = exchanges(enrich.nozzle(events, machines, info, wo))
+    assert sorted(k for k in found if {"user_name", "tooltype", "split_plant_id"} & set(k)) == [
+        ["split_plant_id"], ["user_name", "tooltype"],
+    ]
+
+
+def test_tools_of_machines_with_one_name(spark, rows):
+    """Each machine of a name has its own tools; machines and tools without partners give no rows."""
+    events, _, _, wo = nozzle_inputs(spark)
+    machines = equipment(spark, *(("M1", p, "E1", "A", "f") for p in ("1020", "5170")), ("M2", "1020", "E1", "A", "f"), ("M3", "1020", None, "A", "f"))
+    tools = [(5, "a", "1020", "M1"), (5, "b", "1020", "M2"), (6, "c", "1020", "M2"), (5, "d", "1020", "M3"), (None, "e", "5170", "M1")]
+    info = spark.createDataFrame(tools, "crc_id int, name string, plant_code string, machine string")
+    got = enrich.nozzle(events.union(events), machines, info, wo)
+    assert rows(got.groupBy("machine_name", "plant", "tooltypenozzle").count()) == [("M1", "1020", "a", 4), ("M2", "1020", "b", 4)]
+
+
+def test_slot_meets_orders_last(spark):
+    """Columns of the order make events much wider, so the other joins come first."""
+    cost = spark.createDataFrame([("10", "1020", 7.5)], "material string, plant string, unit_cost double")
+    keys = [k for k in exchanges(slot_result(spark, cost)) if {"user_name", "component_name", "split_plant_id"} & set(k)]
+    assert keys[0] == ["split_plant_id"]
+
+
+def test_links_are_made_for_chosen_orders_only(spark, rows):
+    names = "optel_schedule_wo string, sap_wo string, side string, assembly string, plant string, setup double, hdfs_file_name string"
+    made = [("W1", "S1", "Top", "A", "P", 1.0, "f1"), ("W1", "S2", "Top", "A", "P", 1.0, "f1"), ("W2", None, "Top", "A", "P", 1.0, "f1")]
+    got = lookups.load(spark.createDataFrame(made, names), "wodetail", report_base="u")
+    assert got.columns == [*lookups.LOOKUPS["wodetail"].columns, lookups.VERSION]
+    assert rows(got, "sap_wo", "wo_detail") == [("S2", "u?wo=S2&Location=P&Section="), (None, None)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "wo_detail" not in plan[plan.index("Window ") :]
+
+
 def test_limit_is_repeatable(spark, rows):
     events, machines, info, wo = nozzle_inputs(spark)
     picked = [rows(enrich.nozzle(events.repartition(n), machines, info, wo, limit=2)) for n in (1, 5)]
