@@ -9,6 +9,7 @@ import json
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from linepulse.llm import (
+    common,
     classifier,
     decontam,
     html,
@@ -670,6 +672,36 @@ def test_suffix_order():
         assert [text[p:] for p in order] == sorted(text[p:] for p in needed.tolist())
 
 
+def test_suffixes_are_sorted_without_copies_of_the_text():
+    rng = np.random.default_rng(5)
+    text = bytes(rng.integers(97, 123, 50_000, np.uint8)) + b"\xff"
+    tracemalloc.start()
+    order = repeats.suffix_order(text, np.arange(len(text)), 4000)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 20_000_000, most
+    assert order.tolist() == sorted(range(len(text)), key=lambda p: text[p : p + 50])
+
+
+def test_places_that_agree_are_sorted_by_the_rest():
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        text = bytes(rng.choice(np.frombuffer(b"\x00ab\xff", np.uint8), rng.integers(1, 60))) * 4 + b"\xff"
+        places = np.flatnonzero(rng.random(len(text)) < 0.7)
+        for depth in (8, 20, 400):
+            want = sorted(places.tolist(), key=lambda p: text[p : p + depth])
+            assert repeats._sorted_places(text, places, depth).tolist() == want
+
+
+def test_batches_hold_few_documents(spark):
+    def work(batches):
+        for batch in batches:
+            yield {"n": [len(batch["id"])]}
+
+    made = common.map_batches(spark.range(0, 1000, 1, 1), "n bigint", work, rows=300)
+    assert sorted(r.n for r in made.collect()) == [100, 300, 300, 300]
+
+
 def test_common_prefixes():
     rng = random.Random(6)
     text = bytes(rng.choices(b"ab", k=10)) * 80 + bytes(rng.choices(b"ab", k=60)) + b"\xff"
