@@ -29,7 +29,7 @@ from linepulse.plans.catalog import (
 )
 from linepulse.plans.views import table, view
 from linepulse.registry import ROUTES
-from linepulse.session import delete_folder, fresh_path, spread
+from linepulse.session import delete_folder, fresh_path, materialize, spread
 from linepulse.sinks import payloads
 from linepulse.sinks.files import append_parquet
 from linepulse.sources import envelope, inferred, records, tables
@@ -305,9 +305,12 @@ def stream_union(spark, d):
 
 @query
 def stream_cost_refresh(spark, d):
-    """The cost table doubles after the second batch; a refresh every second batch sees it in the third."""
+    """The cost table doubles after the second batch; a refresh every second batch sees it in the third.
+
+    The lookups are chosen and written once, and every batch reads the same rows.
+    """
     root = fresh_path(spark, "cost")
-    now = _lookups(spark, d, "equipment", "comptype", "wodetail")
+    now = {name: materialize(df, name) for name, df in _lookups(spark, d, "equipment", "comptype", "wodetail").items()}
     prices = tables.material_cost(view(spark, d, "material_cost_raw"))
     cost = event_stream.Refreshed(lambda s: s.read.schema(prices.schema).parquet(f"{root}/cost"), batches=2)
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from linepulse.functions import text
 from linepulse.operators import landing, routing
-from linepulse.plans import catalog
+from linepulse.plans import catalog, continuous
 from linepulse.session import fresh_path, shared_dir, spread
 from linepulse.streaming import ingest, runner
 from linepulse.sources import records
@@ -113,3 +113,27 @@ def test_lost_values_are_looked_for_once(spark, rows):
 
 def test_no_generated_method_is_too_long_to_be_compiled():
     assert int(runner.QUERY_SETTINGS["spark.sql.codegen.hugeMethodLimit"]) <= 8000  # HotSpot's limit
+
+
+def test_lookups_of_a_stream_are_chosen_once(spark, tmp_path, monkeypatch, rows):
+    at = F.element_at(F.array(*map(F.lit, ("1996-01-01", "1998-01-01", "1999-06-01"))), F.col("l_linenumber"))
+    spark.range(1, 4).select(
+        F.lit(7).cast("bigint").alias("l_orderkey"), F.lit(4).cast("bigint").alias("l_partkey"), F.lit(2).cast("bigint").alias("l_suppkey"),
+        F.col("id").cast("int").alias("l_linenumber"), F.lit(5.0).alias("l_quantity"),
+    ).select("*", at.cast("timestamp").alias("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name, row in (
+        ("supplier", "SELECT 2L AS s_suppkey, 'Supplier#000000002' AS s_name, 3 AS s_nationkey"),
+        ("nation", "SELECT 3 AS n_nationkey, 'NATION_4' AS n_name"),
+        ("part", "SELECT 4L AS p_partkey, 10.0D AS p_retailprice"),
+    ):
+        spark.sql(row).write.parquet(f"{tmp_path}/{name}.parquet")
+    plans, slot = [], continuous.enrich.slot
+
+    def seen(batch, *lookups):
+        plans.append([df._jdf.queryExecution().optimizedPlan().toString() for df in lookups[:3]])
+        return slot(batch, *lookups)
+
+    monkeypatch.setattr(continuous.enrich, "slot", seen)
+    made = continuous.stream_cost_refresh(spark, str(tmp_path))
+    assert rows(made, "n", "unit_cost") == [(0, 10.0), (1, 10.0), (2, 20.0)]
+    assert len(plans) == 3 and all("Window" not in plan for batch in plans for plan in batch)
