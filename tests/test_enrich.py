@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from linepulse import session
 from linepulse.functions import text
 from linepulse.operators import enrich, lookups, wide
 
@@ -265,6 +266,23 @@ def slot_result(spark, cost):
     )
 
 
+def test_sorts_begin_with_the_key_that_tells_rows_apart(spark):
+    def sorts(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return re.findall(r"Sort \[(\w+)#", plan)
+
+    schema = "plant string, machine string, part_number string, head_type string, pins double, nozzle1 string, package string, hdfs_file_name string"
+    parts = lookups.load(spark.createDataFrame([("1020", "M1", "10", "A", 4.0, "N1", "PK", "f")], schema), "comptype")
+    assert set(sorts(parts)) == {"part_number"}
+    assert set(sorts(orders(spark, ("W1", "S1", "Top", "A1", "P", 2.0, "f")))) == {"optel_schedule_wo"}
+    assert set(lookups.LOOKUPS["comptype"].sorted_by) == set(lookups.LOOKUPS["comptype"].keys)
+    assert lookups.LOOKUPS["info"].sorted_by == lookups.LOOKUPS["info"].keys
+    cost = spark.createDataFrame([("10", "1020", 7.5)], "material string, plant string, unit_cost double")
+    with session.settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = slot_result(spark, cost)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [component_name#" in plan and "[part_number#" in plan and "[cost_material#" in plan
+
+
 def test_slot_cost_default(spark, rows):
     cost = spark.createDataFrame([("10", "1020", 7.5)], "material string, plant string, unit_cost double")
     assert rows(slot_result(spark, cost), "component_name", "unit_cost", "slot", "track") == [
