@@ -6,8 +6,9 @@ from linepulse.functions import text
 from linepulse.operators import landing, routing
 from linepulse.plans import catalog, continuous
 from linepulse.session import fresh_path, shared_dir, spread
+from linepulse.sinks import files
 from linepulse.streaming import ingest, runner
-from linepulse.sources import records
+from linepulse.sources import envelope, records
 
 TIMERS, NOZZLE = "c1-smt-x-timers", "c1-smt-x-nozzle"
 
@@ -137,3 +138,19 @@ def test_lookups_of_a_stream_are_chosen_once(spark, tmp_path, monkeypatch, rows)
     made = continuous.stream_cost_refresh(spark, str(tmp_path))
     assert rows(made, "n", "unit_cost") == [(0, 10.0), (1, 10.0), (2, 20.0)]
     assert len(plans) == 3 and all("Window" not in plan for batch in plans for plan in batch)
+
+
+
+def test_bodies_of_one_service_are_read_by_many_tasks(spark, tmp_path, monkeypatch, rows):
+    made = spark.createDataFrame(
+        [("a", 2, '[{"table_name":"x"},{"table_name":"y"}]'), ("a", 100, '[{"table_name":"z"}]'), ("b", 101, '[{"picks":1.5}]')],
+        "service string, row_count bigint, payload string",
+    )
+    made.write.parquet(f"{tmp_path}/payloads")
+    monkeypatch.setattr(catalog, "_wide_stream", lambda spark, d: str(tmp_path))
+    got = catalog.stream_payloads(spark, "")
+    assert rows(got, "service", "bounded", "table_name", "picks") == [
+        ("a", True, "x", None), ("a", True, "y", None), ("a", True, "z", None), ("b", False, None, 1.5),
+    ]
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Subqueries")[0]
+    assert "Window" not in plan
