@@ -154,3 +154,59 @@ def test_bodies_of_one_service_are_read_by_many_tasks(spark, tmp_path, monkeypat
     ]
     plan = got._jdf.queryExecution().executedPlan().toString().split("Subqueries")[0]
     assert "Window" not in plan
+
+
+def test_archived_messages_are_packed(spark, tmp_path, rows):
+    messages = spark.range(2000).coalesce(1).select(F.concat(F.lit("same text " * 20), F.col("id").cast("string")).alias("value"))
+    files.archive(messages, str(tmp_path), "line_0")
+    kept = spark.read.text(f"{tmp_path}/line_0")
+    assert rows(kept) == rows(messages)
+    size = sum(p.stat().st_size for p in (tmp_path / "line_0").glob("part-*"))
+    assert size < 2000 * 200 / 5
+    assert runner.QUERY_SETTINGS["spark.sql.parquet.compression.codec"] == "zstd"
+
+
+def test_equal_lists_of_a_batch_are_kept_as_texts(spark, rows):
+    line = "<LiveTextData><TagName>c1-smt-x-units</TagName><TagValue fieldnames=\"{}\" fieldtypes=\"{}\" separator=\",\">{}</TagValue></LiveTextData>"
+    body = line.format("SERIAL_NO,,Panel No,", "String,Int,", "a,1, b")
+    messages = spark.createDataFrame([(f"<ArrayOfLiveTextData>{body}{body}</ArrayOfLiveTextData>",), ("<bad",)], "value string")
+    parsed = routing.classify(envelope.parse(messages, "t", "b", F.lit("2024-01-01").cast("timestamp")))
+    want = rows(parsed)
+    with ingest.by_type(parsed, ingest.XML_LISTS) as kept:
+        assert kept.columns == parsed.columns and rows(kept) == want
+        at = _leaves(spark, "batch")[0]
+        kinds = dict(spark.read.parquet(f"{shared_dir(spark)}/{at}").dtypes)
+        assert {kinds[c] for c in ingest.XML_LISTS} == {"string"} and kinds["field_values"] == "array<string>"
+    json = routing.classify(records.json_records(_messages(spark, 3)))
+    with ingest.by_type(json, ingest.KEYS) as kept:
+        assert rows(kept, "field_keys", "field_names") == rows(json, "field_keys", "field_names")
+
+
+def test_records_of_texts_are_written_as_a_whole(spark):
+    schema = ", ".join(f"{c} string" for c in envelope.RECORD_LINEAGE)
+    cases = [
+        (["A", "b c"], ["String", "string"], ["x\"y", " "]),
+        (["A", "B"], ["String", "Int"], ["x", "5"]),
+        (["A", "A"], ["String", "String"], ["x", "y"]),
+        (["A", "B"], ["String", "String"], ["x"]),
+        (["A", "B"], ["String"], ["x", "y"]),
+        (["A"], ["Int"], ["no"]),
+        ([""], ["other"], ["\u00e9\n"]),
+    ]
+    df = spark.createDataFrame(
+        [(*["t"] * 7, None, *case) for case in cases],
+        f"{schema}, field_names array<string>, field_types array<string>, field_values array<string>",
+    )
+    about = ",".join(f'"{c}":' + ("null" if c == envelope.RECORD_LINEAGE[-1] else '"t"') for c in envelope.RECORD_LINEAGE)
+    own = ['"A":"x\\"y","b c":" "', '"A":"x","B":5', '"A":"x","A":"y"', '"A":"x","B":""', '"A":"x","B":""', '"A":""', '"":"\u00e9\\n"']
+    assert [r[0] for r in df.select(envelope.record_json()).collect()] == [f"{{{o},{about}}}" for o in own]
+
+
+def test_records_of_texts_need_no_look_at_each_value(spark, rows):
+    line = '<ArrayOfLiveTextData><LiveTextData><TagName>t</TagName><TagValue fieldnames="A,B" fieldtypes="{}" separator=",">{}</TagValue></LiveTextData></ArrayOfLiveTextData>'
+    cases = [("String,string", "a,b"), ("String,string", "a"), ("String", "a,b"), ("Int,String", "a,b"), ("String,String", " a ,\tb "), ("String,String", " ,")]
+    df = spark.createDataFrame([(i, line.format(*c)) for i, c in enumerate(cases)], "n int, value string")
+    got = [rows(envelope.parse(df.filter(F.col("n") == i), "t", "b"), "bad_fields", "field_values") for i in range(len(cases))]
+    assert [g[0] for g in got] == [
+        ([], ["a", "b"]), (["B"], ["a"]), (["B"], ["a", "b"]), (["A"], ["a", "b"]), ([], ["a", "b"]), ([], [" ", ""]),
+    ]
