@@ -210,3 +210,19 @@ def test_records_of_texts_need_no_look_at_each_value(spark, rows):
     assert [g[0] for g in got] == [
         ([], ["a", "b"]), (["B"], ["a"]), (["B"], ["a", "b"]), (["A"], ["a", "b"]), ([], ["a", "b"]), ([], [" ", ""]),
     ]
+
+
+def test_lost_values_are_found_by_compiled_code(spark):
+    parsed = routing.classify(records.json_records(_messages(spark, 5)))
+    plan = landing.misfit_rows(parsed, "ea_pap_timers")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan.split("Filter")[1] and plan.count("Generate explode") == 1, plan
+
+
+def test_messages_of_one_topic_are_written_where_they_lie(spark, tmp_path, rows):
+    made = spark.range(0, 40, 1, 4).select(F.col("id").cast("string").alias("value"))
+    files.append_topic(made, f"{tmp_path}/topics", "wide", runner.BatchId(0, "r"))
+    kept = spark.read.parquet(f"{tmp_path}/topics")
+    assert rows(kept, "value", "topic", "run", "batch") == [(v, "wide", "r", 0) for (v,) in rows(made)]
+    assert len(list((tmp_path / "topics/run=r/batch=0/topic=wide").glob("part-*"))) == 4
+    files.append_topic(made.limit(1), f"{tmp_path}/topics", "wide", runner.BatchId(0, "r"))
+    assert spark.read.parquet(f"{tmp_path}/topics").count() == 1
