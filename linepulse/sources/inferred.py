@@ -18,9 +18,12 @@ from linepulse.sources.envelope import RECORD_LINEAGE
 
 def variants(messages: DataFrame, routes: Mapping[str, str] = ROUTES, value: str = "value") -> DataFrame:
     """record_type, record (a variant) and raw; a text that is no JSON object has a NULL record."""
-    parsed = messages.select(F.col(value).alias("raw"), F.try_parse_json(value).alias("record"))
-    tag = F.try_variant_get("record", "$.xml_tag_name", "string")
-    return parsed.select(record_type(tag, routes).alias("record_type"), "record", "raw")
+    both = F.struct(F.col(value).alias("raw"), F.try_parse_json(value).alias("record"))
+    # exploded arrays of one: filters stay above them, so a record is parsed and its tag looked up once
+    parsed = messages.select(F.explode(F.array(both)).alias("p")).select("p.raw", "p.record")
+    tag = F.array(F.try_variant_get("record", "$.xml_tag_name", "string"))
+    tagged = parsed.select("raw", "record", F.explode(tag).alias("tag"))
+    return tagged.select(record_type(F.col("tag"), routes).alias("record_type"), "record", "raw")
 
 
 def known_fields(routes: Mapping[str, str] = ROUTES) -> list[tuple[str, str]]:

@@ -8,7 +8,7 @@ from linepulse.plans import catalog, continuous
 from linepulse.session import fresh_path, shared_dir, spread
 from linepulse.sinks import files
 from linepulse.streaming import ingest, runner
-from linepulse.sources import envelope, records
+from linepulse.sources import envelope, inferred, records
 
 TIMERS, NOZZLE = "c1-smt-x-timers", "c1-smt-x-nozzle"
 
@@ -226,3 +226,18 @@ def test_messages_of_one_topic_are_written_where_they_lie(spark, tmp_path, rows)
     assert len(list((tmp_path / "topics/run=r/batch=0/topic=wide").glob("part-*"))) == 4
     files.append_topic(made.limit(1), f"{tmp_path}/topics", "wide", runner.BatchId(0, "r"))
     assert spark.read.parquet(f"{tmp_path}/topics").count() == 1
+
+
+def test_variants_are_parsed_once_and_after_they_are_dealt(spark, rows):
+    messages = spread(_messages(spark, 5).unionByName(_messages(spark, 2, "other")), 2)
+    got = inferred.typed(inferred.variants(messages), "ea_pap_timers", {"id": ("$.Product_ID", "bigint")})
+    assert rows(got) == [(n,) for n in range(5)]
+    for made in (got, inferred.fields(inferred.variants(messages))):
+        plan = made._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert plan.count("parsejson(") + plan.count("parse_json(") == 1, plan
+        assert "$.xml_tag_name" in plan and plan.count("$.xml_tag_name") == 1
+        assert max(plan.find("parsejson("), plan.find("parse_json(")) < plan.index("repartition ")
+    broken = spark.createDataFrame([("{",), (None,), ("[1]",)], "value string")
+    assert rows(inferred.variants(broken), "record_type", F.col("record").isNull(), "raw") == [
+        (None, False, "[1]"), (None, True, "{"), (None, True, None),
+    ]
