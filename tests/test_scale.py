@@ -8,6 +8,7 @@ from linepulse.plans import catalog, continuous
 from linepulse.session import fresh_path, shared_dir, spread
 from linepulse.sinks import files
 from linepulse.streaming import ingest, runner
+from linepulse.streaming import kpi as kpi_stream
 from linepulse.sources import envelope, inferred, records
 
 TIMERS, NOZZLE = "c1-smt-x-timers", "c1-smt-x-nozzle"
@@ -241,3 +242,23 @@ def test_variants_are_parsed_once_and_after_they_are_dealt(spark, rows):
     assert rows(inferred.variants(broken), "record_type", F.col("record").isNull(), "raw") == [
         (None, False, "[1]"), (None, True, "{"), (None, True, None),
     ]
+
+
+def test_a_join_of_streams_runs_no_batch_without_rows(spark, tmp_path, rows):
+    schema = "generated_key string, machine_id string, pcb_side string, pcb_name string, pcb_result string, inspection_end timestamp"
+    pads = "generated_key string, volume double, measured_at timestamp"
+    for number, day in enumerate(("2024-01-01", "2024-03-01")):
+        at = F.lit(f"{day} 10:00:00").cast("timestamp")
+        made = spark.range(3).select(F.concat(F.lit(f"{number}-"), F.col("id").cast("string")).alias("generated_key"), at.alias("at"))
+        made.select("generated_key", F.lit("M").alias("machine_id"), F.lit("Top").alias("pcb_side"), F.lit("n").alias("pcb_name"),
+                    F.lit("GOOD").alias("pcb_result"), F.col("at").alias("inspection_end")).write.parquet(f"{tmp_path}/heads/{number}")
+        made.select("generated_key", F.lit(2.0).alias("volume"), F.col("at").alias("measured_at")).write.parquet(f"{tmp_path}/pads/{number}")
+        run = kpi_stream.board_volume_stream(
+            spark.readStream.schema(schema).parquet(f"{tmp_path}/heads/*"), spark.readStream.schema(pads).parquet(f"{tmp_path}/pads/*"),
+            f"{tmp_path}/boards", f"{tmp_path}/checkpoint",
+        )
+        run.awaitTermination()
+    kept = spark.read.parquet(f"{tmp_path}/boards")
+    assert rows(kept, "generated_key", "volume_sum", "volume_count") == [(f"{n}-{i}", 2.0, 1) for n in range(2) for i in range(3)]
+    assert len(list(tmp_path.glob("boards/run=*/batch=*"))) == 2
+    assert runner.QUERY_SETTINGS["spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"] == "false"
