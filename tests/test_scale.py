@@ -262,3 +262,23 @@ def test_a_join_of_streams_runs_no_batch_without_rows(spark, tmp_path, rows):
     assert rows(kept, "generated_key", "volume_sum", "volume_count") == [(f"{n}-{i}", 2.0, 1) for n in range(2) for i in range(3)]
     assert len(list(tmp_path.glob("boards/run=*/batch=*"))) == 2
     assert runner.QUERY_SETTINGS["spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"] == "false"
+
+
+def test_slot_events_are_not_sent_to_meet_their_machines(spark, tmp_path, rows):
+    at = F.lit("1996-01-01").cast("timestamp").alias("l_shipdate")
+    spark.range(1, 4).select(
+        F.lit(7).cast("bigint").alias("l_orderkey"), F.lit(4).cast("bigint").alias("l_partkey"), F.lit(2).cast("bigint").alias("l_suppkey"),
+        F.col("id").cast("int").alias("l_linenumber"), F.lit(5.0).alias("l_quantity"), at,
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name, row in (
+        ("supplier", "SELECT 2L AS s_suppkey, 'Supplier#000000002' AS s_name, 3 AS s_nationkey"),
+        ("nation", "SELECT 3 AS n_nationkey, 'NATION_4' AS n_name"),
+        ("part", "SELECT 4L AS p_partkey, 10.0D AS p_retailprice"),
+    ):
+        spark.sql(row).write.parquet(f"{tmp_path}/{name}.parquet")
+    made = catalog.slot_enriched(spark, str(tmp_path))
+    assert rows(made, "slot_number", "optel_schedule_wo", "unit_cost") == [(n, "7", 10.0) for n in (1, 2, 3)]
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user_name" not in plan, plan
+    sent = [e.split("Project [")[1].split("]")[0] for e in plan.split("Exchange hashpartitioning(component_name")[1:]]
+    assert sent and all("split_plant_id" not in columns for columns in sent), plan
